@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension up to this many rows is shipped to every task; above it the
+# join stays a shuffle join (AQE may still switch it from runtime sizes).
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(dim)`` when ``dim`` holds at most ``max_rows`` rows, else ``dim``.
+
+    The check reads at most ``max_rows + 1`` rows, so it costs no more than
+    shipping the table would.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
