@@ -59,11 +59,8 @@ def wgs84_to_lv95(lon, lat) -> tuple[Column, Column]:
 
 
 def floor_div(x, d: float) -> Column:
-    """Exact ``floor(x / d)`` as Python's float ``//`` computes it (via the remainder)."""
-    x = _c(x)
-    r = x % _d(d)
-    q = (x - r) / _d(d)
-    return F.when(r < 0, q - 1).otherwise(q).try_cast("long")
+    """``floor(x / d)`` as a long (null when not finite)."""
+    return F.floor(_c(x) / _d(d)).try_cast("long")
 
 
 def tile_key(e, n, size: float = 1000.0) -> Column:

@@ -154,11 +154,8 @@ FROM (SELECT *, (longitude*CAST(3600 AS DOUBLE) - CAST(26782.5 AS DOUBLE))/CAST(
              (latitude*CAST(3600 AS DOUBLE) - CAST(169028.66 AS DOUBLE))/CAST(10000 AS DOUBLE) AS la
       FROM obs) q""",
     "keyed": """
-SELECT *,
-  CAST(CASE WHEN E_lv95 % 1000 < 0 THEN (E_lv95 - E_lv95 % 1000) / 1000 - 1
-            ELSE (E_lv95 - E_lv95 % 1000) / 1000 END AS BIGINT) AS te,
-  CAST(CASE WHEN N_lv95 % 1000 < 0 THEN (N_lv95 - N_lv95 % 1000) / 1000 - 1
-            ELSE (N_lv95 - N_lv95 % 1000) / 1000 END AS BIGINT) AS tn
+SELECT *, CAST(floor(E_lv95 / CAST(1000 AS DOUBLE)) AS BIGINT) AS te,
+          CAST(floor(N_lv95 / CAST(1000 AS DOUBLE)) AS BIGINT) AS tn
 FROM proj""",
     "dem_pixel": """
 SELECT CAST(t.te AS VARCHAR) || '-' || CAST(t.tn AS VARCHAR) AS tile_key,
@@ -173,8 +170,9 @@ CROSS JOIN (SELECT * FROM nation WHERE n_nationkey < 10) py""",
 
 def with_views(body: str, *views: str) -> str:
     """Prefix ``body`` with the named views (and what they depend on) as CTEs."""
-    order = ["obs", "taxa", "proj", "keyed", "dem_pixel"]
-    deps = {"obs": [], "taxa": [], "proj": ["obs"], "keyed": ["proj"], "dem_pixel": ["keyed"]}
+    order = ["obs", "taxa", "proj", "keyed", "dem_pixel", "urls", "elev"]
+    deps = {"obs": [], "taxa": [], "proj": ["obs"], "keyed": ["proj"], "dem_pixel": ["keyed"],
+            "urls": ["keyed"], "elev": ["keyed", "dem_pixel"]}
     need: set[str] = set()
 
     def add(v):
@@ -195,3 +193,47 @@ def with_views(body: str, *views: str) -> str:
     if body.upper().startswith("WITH"):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[4:].lstrip()
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def tile_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Download list ``(pos, url)`` derived from the observation tiles.
+
+    Per observed tile: its own 2 m tile (vintage 2019), the 0.5 m tile east of
+    it (vintage 2021) and a bare ``<key>.tif`` name that must never match.
+    """
+    t = keyed(projected(observations(spark, sf_dir))).select("te", "tn").distinct()
+    v = t.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    e = F.when(F.col("variant") == 1, F.col("te") + 1).otherwise(F.col("te"))
+    key = F.concat_ws("-", e.cast("string"), F.col("tn").cast("string"))
+    name = (F.when(F.col("variant") == 0, F.concat(F.lit("swissalti3d_2019_"), key, F.lit("_2_2056_5728.tif")))
+             .when(F.col("variant") == 1, F.concat(F.lit("swissalti3d_2021_"), key, F.lit("_0.5_2056_5728.tif")))
+             .otherwise(F.concat(key, F.lit(".tif"))))
+    url = F.concat(F.lit("https://data.geo.example/swissalti3d/"), key, F.lit("/"), name)
+    pos = (F.col("te") * 10000000 + F.col("tn")) * 4 + F.col("variant")
+    return v.select(pos.alias("pos"), url.alias("url"))
+
+
+def present_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names already downloaded: the raster files behind ``dem_tile``."""
+    tiles, _ = dem_tables(spark, sf_dir)
+    return tiles.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
+VIEW_SQL["urls"] = """
+SELECT (t.te * 10000000 + t.tn) * 4 + v.variant AS pos,
+       'https://data.geo.example/swissalti3d/' || k.key || '/' ||
+       CASE v.variant WHEN 0 THEN 'swissalti3d_2019_' || k.key || '_2_2056_5728.tif'
+                      WHEN 1 THEN 'swissalti3d_2021_' || k.key || '_0.5_2056_5728.tif'
+                      ELSE k.key || '.tif' END AS url
+FROM (SELECT DISTINCT te, tn FROM keyed) t
+CROSS JOIN (SELECT n_nationkey AS variant FROM nation WHERE n_nationkey < 3) v
+CROSS JOIN LATERAL (SELECT CAST(CASE WHEN v.variant = 1 THEN t.te + 1 ELSE t.te END AS VARCHAR)
+                           || '-' || CAST(t.tn AS VARCHAR) AS key) k"""
+
+VIEW_SQL["elev"] = """
+SELECT k.* EXCLUDE (te, tn),
+       CASE WHEN d.val = CAST(-9999 AS DOUBLE) THEN NULL ELSE d.val END AS elevation_m
+FROM keyed k LEFT JOIN dem_pixel d
+  ON d.tile_key = CAST(k.te AS VARCHAR) || '-' || CAST(k.tn AS VARCHAR)
+ AND d.px = CAST(trunc((k.E_lv95 - CAST(d.x0 AS DOUBLE)) / CAST(100 AS DOUBLE)) AS INT)
+ AND d.py = CAST(trunc((k.N_lv95 - CAST(d.y0 AS DOUBLE)) / CAST(-100 AS DOUBLE)) AS INT)"""

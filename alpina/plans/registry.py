@@ -132,3 +132,193 @@ UNION ALL
 SELECT * FROM taxa WHERE taxon_id NOT IN (SELECT taxon_id FROM fresh)""", ("taxa",))
 def q_taxa_upsert(spark, sf):
     return taxa_ops.upsert_taxa(fx.taxa_cache(spark, sf), fx.taxa_fetched(spark, sf))
+
+
+# --- elevation (J2, A3, F2) -------------------------------------------------------
+
+def _elevated(spark, sf):
+    from ..operators.elevation import enrich_elevation
+    tiles, strips = fx.dem_tables(spark, sf)
+    return enrich_elevation(fx.observations(spark, sf), tiles, strips)
+
+
+@register("enrich_elevation", "SELECT observation_uuid, elevation_m FROM elev", ("elev",))
+def q_enrich_elevation(spark, sf):
+    return _elevated(spark, sf).select("observation_uuid", "elevation_m")
+
+
+@register("filter_elevation", """
+SELECT observation_uuid, longitude, latitude, positional_accuracy, quality_grade, taxon_id, year, elevation_m
+FROM elev WHERE elevation_m IS NOT NULL""", ("elev",))
+def q_filter_elevation(spark, sf):
+    return quality.filter_elevation(_elevated(spark, sf))
+
+
+@register("elevation_coverage", """
+SELECT k.tile_key, count(*) AS n_points, (d.tile_key IS NOT NULL) AS has_tile
+FROM (SELECT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS tile_key FROM keyed) k
+LEFT JOIN (SELECT DISTINCT tile_key FROM dem_pixel) d ON d.tile_key = k.tile_key
+GROUP BY k.tile_key, d.tile_key""", ("keyed", "dem_pixel"))
+def q_elevation_coverage(spark, sf):
+    from ..operators.elevation import elevation_coverage
+    tiles, _ = fx.dem_tables(spark, sf)
+    return elevation_coverage(fx.observations(spark, sf), tiles)
+
+
+# --- tiles (A2, J6, J7) ----------------------------------------------------------
+
+@register("tiles_needed",
+          "SELECT DISTINCT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS tile_key FROM keyed", ("keyed",))
+def q_tiles_needed(spark, sf):
+    from ..operators.tiles import tiles_needed
+    return tiles_needed(fx.observations(spark, sf))
+
+
+@register("tile_urls_needed", """
+SELECT u.pos, u.url FROM urls u
+WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS k FROM keyed) n
+              WHERE contains(regexp_extract(u.url, '[^/]*$'), '_' || n.k || '_'))""", ("urls",))
+def q_tile_urls_needed(spark, sf):
+    from ..operators.tiles import tiles_needed, urls_needed
+    return urls_needed(fx.tile_urls(spark, sf), tiles_needed(fx.observations(spark, sf)))
+
+
+@register("tile_urls_missing", """
+SELECT u.pos, u.url FROM urls u
+WHERE regexp_extract(u.url, '[^/]*$') NOT IN (
+  SELECT 'swissalti3d_2019_' || tile_key || '_2_2056_5728.tif' FROM (SELECT DISTINCT tile_key FROM dem_pixel) d)""",
+          ("urls", "dem_pixel"))
+def q_tile_urls_missing(spark, sf):
+    from ..operators.tiles import urls_missing
+    return urls_missing(fx.tile_urls(spark, sf), fx.present_tiles(spark, sf))
+
+
+# --- combine (J4, J5) -----------------------------------------------------------------
+
+def _combine_inputs(spark, sf):
+    obs = fx.observations(spark, sf)
+    a = quality.filter_position(obs, 100.0).select("observation_uuid", "longitude", "latitude", "positional_accuracy")
+    b = quality.filter_grade(obs, ["research", "needs_id"]).select(
+        "observation_uuid", "quality_grade", "taxon_id", F.lit(None).cast("string").alias("positional_accuracy"))
+    c = taxa_ops.enrich_taxa(obs, fx.taxa_cache(spark, sf)).where(F.col("group") != "unknown").select(
+        "observation_uuid", "taxon_id", "group", "year", "latitude")
+    return [a, b, c]
+
+
+COMBINE_SQL = """
+WITH a AS (SELECT observation_uuid, longitude, latitude, positional_accuracy FROM obs
+           WHERE TRY_CAST(positional_accuracy AS DOUBLE) <= 100),
+b AS (SELECT observation_uuid, quality_grade, taxon_id, CAST(NULL AS VARCHAR) AS positional_accuracy FROM obs
+      WHERE quality_grade IN ('research', 'needs_id')),
+c AS (SELECT * FROM (SELECT o.observation_uuid, o.taxon_id, {grp} AS "group", o.year, o.latitude
+                     FROM obs o LEFT JOIN taxa t ON o.taxon_id = t.taxon_id) q WHERE "group" <> 'unknown')
+SELECT coalesce(a.observation_uuid, b.observation_uuid, c.observation_uuid) AS observation_uuid,
+       a.longitude, coalesce(a.latitude, c.latitude) AS latitude,
+       coalesce(a.positional_accuracy, b.positional_accuracy) AS positional_accuracy,
+       b.quality_grade, coalesce(b.taxon_id, c.taxon_id) AS taxon_id, c."group", c.year
+FROM a {j} JOIN b ON a.observation_uuid = b.observation_uuid
+{j} JOIN c ON coalesce(a.observation_uuid, b.observation_uuid) = c.observation_uuid"""
+
+
+@register("combine_union", COMBINE_SQL.format(grp=GROUP_SQL.format(c="t.iconic_taxon_name"), j="FULL"),
+          ("obs", "taxa"))
+def q_combine_union(spark, sf):
+    from ..operators.combine import combine
+    return combine(_combine_inputs(spark, sf), how="union")
+
+
+@register("combine_intersect", COMBINE_SQL.format(grp=GROUP_SQL.format(c="t.iconic_taxon_name"), j="INNER"),
+          ("obs", "taxa"))
+def q_combine_intersect(spark, sf):
+    from ..operators.combine import combine
+    return combine(_combine_inputs(spark, sf), how="intersect")
+
+
+# --- clustering (J13, C1, C2, A6) ---------------------------------------------------
+
+EPS = 500.0
+MIN_SAMPLES = 6
+
+
+def dbscan_sql(points_cte: str, rows_cte: str, eps: float, min_samples: int, three_d: bool) -> str:
+    """Recursive-CTE DBSCAN: pairs -> core -> smallest reachable core id -> borders -> numbering."""
+    z = " + (a.z - b.z) * (a.z - b.z)" if three_d else ""
+    return f"""
+WITH RECURSIVE pts AS ({points_cte}),
+allrows AS ({rows_cte}),
+nb AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON a.yr = b.yr
+       AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y){z} <= CAST({eps * eps} AS DOUBLE)),
+core AS (SELECT a AS id FROM nb GROUP BY a HAVING count(*) >= {min_samples}),
+ce AS (SELECT nb.a, nb.b FROM nb JOIN core c1 ON nb.a = c1.id JOIN core c2 ON nb.b = c2.id),
+reach(id, root) AS (
+  SELECT id, id FROM core
+  UNION
+  SELECT ce.b, reach.root FROM reach JOIN ce ON ce.a = reach.id WHERE reach.root < ce.b),
+croot AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+broot AS (SELECT nb.a AS id, min(croot.root) AS root FROM nb JOIN croot ON nb.b = croot.id
+          WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a),
+lab AS (SELECT id, root FROM croot UNION ALL SELECT id, root FROM broot),
+cl AS (SELECT DISTINCT p.yr, lab.root FROM lab JOIN pts p ON p.id = lab.id),
+num AS (SELECT yr, root,
+               CAST(dense_rank() OVER (PARTITION BY yr ORDER BY root) - 1 AS INT) AS cluster_local_id,
+               CAST(dense_rank() OVER (ORDER BY yr, root) - 1 AS INT) AS cluster_id FROM cl)
+SELECT r.*, coalesce(num.cluster_local_id, -1) AS cluster_local_id, coalesce(num.cluster_id, -1) AS cluster_id
+FROM allrows r LEFT JOIN lab ON lab.id = r.observation_uuid
+LEFT JOIN num ON num.root = lab.root AND num.yr = r.cluster_year"""
+
+
+def _clustered_2d(spark, sf):
+    from ..operators.dbscan import dbscan
+    p = quality.with_year(fx.projected(fx.observations(spark, sf)))
+    return dbscan(p, EPS, MIN_SAMPLES)
+
+
+def _clustered_3d(spark, sf):
+    from ..operators.dbscan import dbscan
+    e = quality.filter_elevation(_elevated(spark, sf))
+    p = quality.with_year(fx.projected(e)).withColumn("z", F.col("elevation_m") / F.lit(1.0))
+    return dbscan(p, EPS, MIN_SAMPLES, dims=["E_lv95", "N_lv95", "z"])
+
+
+@register("eps_neighbours", f"""
+SELECT a.observation_uuid, count(*) AS n_neighbours
+FROM proj a JOIN proj b ON a.year = b.year
+ AND (a.E_lv95 - b.E_lv95) * (a.E_lv95 - b.E_lv95) + (a.N_lv95 - b.N_lv95) * (a.N_lv95 - b.N_lv95)
+     <= CAST({EPS * EPS} AS DOUBLE)
+GROUP BY a.observation_uuid""", ("proj",))
+def q_eps_neighbours(spark, sf):
+    from ..operators.neighbours import neighbour_counts
+    p = fx.projected(fx.observations(spark, sf)).where(F.col("year").isNotNull())
+    return neighbour_counts(p, EPS, "observation_uuid", "year", ["E_lv95", "N_lv95"]) \
+        .select("observation_uuid", "n_neighbours")
+
+
+@register("dbscan_2d", dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL",
+    "SELECT observation_uuid, year AS cluster_year FROM proj", EPS, MIN_SAMPLES, False), ("proj",))
+def q_dbscan_2d(spark, sf):
+    return _clustered_2d(spark, sf).select("observation_uuid", "cluster_year", "cluster_local_id", "cluster_id")
+
+
+@register("dbscan_3d", dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y, elevation_m / CAST(1.0 AS DOUBLE) AS z "
+    "FROM elev WHERE year IS NOT NULL AND elevation_m IS NOT NULL",
+    "SELECT observation_uuid, year AS cluster_year FROM elev WHERE elevation_m IS NOT NULL",
+    EPS, MIN_SAMPLES, True), ("elev",))
+def q_dbscan_3d(spark, sf):
+    return _clustered_3d(spark, sf).select("observation_uuid", "cluster_year", "cluster_local_id", "cluster_id")
+
+
+@register("cluster_summary", """
+WITH c AS (""" + dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y, elevation_m / CAST(1.0 AS DOUBLE) AS z "
+    "FROM elev WHERE year IS NOT NULL AND elevation_m IS NOT NULL",
+    "SELECT observation_uuid, year AS cluster_year, elevation_m FROM elev WHERE elevation_m IS NOT NULL",
+    EPS, MIN_SAMPLES, True) + """)
+SELECT cluster_year AS year, cluster_id, count(*) AS n_points, round(avg(elevation_m), 6) AS alt_mean,
+       min(cluster_local_id) AS cluster_local_id
+FROM c WHERE cluster_id <> -1 GROUP BY cluster_year, cluster_id""", ("elev",))
+def q_cluster_summary(spark, sf):
+    from ..operators.dbscan import cluster_summary
+    s = cluster_summary(_clustered_3d(spark, sf))
+    return s.withColumn("alt_mean", F.round("alt_mean", 6))
