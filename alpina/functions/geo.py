@@ -95,35 +95,41 @@ def _bern_constants():
 BERN = _bern_constants()
 
 
-def lv95_to_wgs84(e, n, iterations: int = 6) -> tuple[Column, Column]:
-    """(lon, lat) degrees WGS84 from LV95 metres, as pure column arithmetic.
+def with_wgs84(df, e: str, n: str, lon_out: str = "lon_wgs84", lat_out: str = "lat_wgs84",
+               iterations: int = 6):
+    """P5: add WGS84 (lon, lat) degrees computed from LV95 metres.
 
     Inverse oblique-conformal projection onto the Bessel ellipsoid, geocentric
-    shift to WGS84 and iterative geodetic latitude; no Python per row.
+    shift to WGS84 and iterative geodetic latitude - all column arithmetic.
+    Each iteration is a named column: the latitude refers to itself several
+    times per step, and nesting the expressions would grow them exponentially.
     """
     c = BERN
-    y = _c(e) - _d(2600000.0)
-    x = _c(n) - _d(1200000.0)
-    lbar = y / _d(c["r"])
-    bbar = _d(2.0) * (F.atan(F.exp(x / _d(c["r"]))) - _d(math.pi / 4))
-    b = F.asin(_d(math.cos(c["b0"])) * F.sin(bbar) + _d(math.sin(c["b0"])) * F.cos(bbar) * F.cos(lbar))
-    lsph = F.atan2(F.sin(lbar), _d(math.cos(c["b0"])) * F.cos(lbar) - _d(math.sin(c["b0"])) * F.tan(bbar))
-    lam = _d(c["lam0"]) + lsph / _d(c["alpha"])
-    # isometric latitude fixed point on the ellipsoid
-    s_base = (F.log(F.tan(_d(math.pi / 4) + b / _d(2.0))) - _d(c["k"])) / _d(c["alpha"])
-    phi = b
+    t = "_w84_"
+    cb0, sb0 = _d(math.cos(c["b0"])), _d(math.sin(c["b0"]))
+    df = (df.withColumn(t + "l", (_c(e) - _d(2600000.0)) / _d(c["r"]))
+            .withColumn(t + "bb", _d(2.0) * (F.atan(F.exp((_c(n) - _d(1200000.0)) / _d(c["r"]))) - _d(math.pi / 4))))
+    l, bb = F.col(t + "l"), F.col(t + "bb")
+    df = (df.withColumn(t + "b", F.asin(cb0 * F.sin(bb) + sb0 * F.cos(bb) * F.cos(l)))
+            .withColumn(t + "lam", _d(c["lam0"]) + F.atan2(F.sin(l), cb0 * F.cos(l) - sb0 * F.tan(bb)) / _d(c["alpha"])))
+    b = F.col(t + "b")
+    df = df.withColumn(t + "sb", (F.log(F.tan(_d(math.pi / 4) + b / _d(2.0))) - _d(c["k"])) / _d(c["alpha"]))
+    df = df.withColumn(t + "phi", b)
     for _ in range(iterations):
-        s = s_base + _d(c["e"]) * F.log(F.tan(_d(math.pi / 4) + F.asin(_d(c["e"]) * F.sin(phi)) / _d(2.0)))
-        phi = _d(2.0) * F.atan(F.exp(s)) - _d(math.pi / 2)
-    # Bessel geodetic -> geocentric, shift, WGS84 geocentric -> geodetic
-    nb = _d(BESSEL_A) / F.sqrt(_d(1.0) - _d(BESSEL_E2) * F.sin(phi) * F.sin(phi))
-    gx = nb * F.cos(phi) * F.cos(lam) + _d(SHIFT_DX)
-    gy = nb * F.cos(phi) * F.sin(lam) + _d(SHIFT_DY)
-    gz = nb * (_d(1.0) - _d(BESSEL_E2)) * F.sin(phi) + _d(SHIFT_DZ)
-    lon = F.atan2(gy, gx)
-    p = F.sqrt(gx * gx + gy * gy)
-    lat = F.atan(gz / p)
+        s = F.col(t + "sb") + _d(c["e"]) * F.log(F.tan(_d(math.pi / 4) + F.asin(_d(c["e"]) * F.sin(t + "phi")) / _d(2.0)))
+        df = df.withColumn(t + "phi", _d(2.0) * F.atan(F.exp(s)) - _d(math.pi / 2))
+    phi, lam = F.col(t + "phi"), F.col(t + "lam")
+    df = df.withColumn(t + "nb", _d(BESSEL_A) / F.sqrt(_d(1.0) - _d(BESSEL_E2) * F.sin(phi) * F.sin(phi)))
+    nb = F.col(t + "nb")
+    df = (df.withColumn(t + "gx", nb * F.cos(phi) * F.cos(lam) + _d(SHIFT_DX))
+            .withColumn(t + "gy", nb * F.cos(phi) * F.sin(lam) + _d(SHIFT_DY))
+            .withColumn(t + "gz", nb * (_d(1.0) - _d(BESSEL_E2)) * F.sin(phi) + _d(SHIFT_DZ)))
+    gx, gy, gz = F.col(t + "gx"), F.col(t + "gy"), F.col(t + "gz")
+    df = df.withColumn(t + "p", F.sqrt(gx * gx + gy * gy))
+    df = df.withColumn(t + "lat", F.atan(gz / F.col(t + "p")))
     for _ in range(iterations):
+        lat = F.col(t + "lat")
         nw = _d(WGS84_A) / F.sqrt(_d(1.0) - _d(WGS84_E2) * F.sin(lat) * F.sin(lat))
-        lat = F.atan((gz + _d(WGS84_E2) * nw * F.sin(lat)) / p)
-    return F.degrees(lon), F.degrees(lat)
+        df = df.withColumn(t + "lat", F.atan((gz + _d(WGS84_E2) * nw * F.sin(lat)) / F.col(t + "p")))
+    df = df.withColumn(lon_out, F.degrees(F.atan2(gy, gx))).withColumn(lat_out, F.degrees(F.col(t + "lat")))
+    return df.drop(*[x for x in df.columns if x.startswith(t)])

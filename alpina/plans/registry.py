@@ -322,3 +322,152 @@ def q_cluster_summary(spark, sf):
     from ..operators.dbscan import cluster_summary
     s = cluster_summary(_clustered_3d(spark, sf))
     return s.withColumn("alt_mean", F.round("alt_mean", 6))
+
+
+# --- map summaries (A8-A11, W4, J9, P11-P13) -----------------------------------------
+
+LABEL_SQL = """coalesce(nullif(common_name, ''), nullif(iconic_taxon_name, ''), 'inconnu')
+    || CASE WHEN nullif("group", '') IS NOT NULL THEN ' (' || "group" || ')' ELSE '' END"""
+
+GRADE_SQL = "CASE WHEN lower(quality_grade) IN ('casual', 'research', 'needs_id') THEN lower(quality_grade) END"
+
+CLUSTERED_TAXA_SQL = dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL",
+    f"""SELECT o.observation_uuid, o.year AS cluster_year, o.quality_grade, o.E_lv95, o.N_lv95,
+               t.iconic_taxon_name, t.common_name, {GROUP_SQL.format(c='t.iconic_taxon_name')} AS "group"
+        FROM proj o LEFT JOIN taxa t ON o.taxon_id = t.taxon_id""", EPS, MIN_SAMPLES, False)
+
+COUNTS_SQL = f"""
+base AS (SELECT cluster_year AS year, cluster_id, {GRADE_SQL} AS grade, {LABEL_SQL} AS label
+         FROM c WHERE cluster_id <> -1 AND cluster_year IS NOT NULL),
+counts AS (SELECT g AS grade_key, year, cluster_id, label, count(*) AS n_obs FROM (
+             SELECT 'all' AS g, year, cluster_id, label FROM base
+             UNION ALL SELECT grade AS g, year, cluster_id, label FROM base WHERE grade IS NOT NULL) q
+           GROUP BY g, year, cluster_id, label),
+features AS (SELECT DISTINCT cluster_year AS year, cluster_id FROM c WHERE cluster_id <> -1)"""
+
+
+def _summary_sql(select: str) -> str:
+    return f"WITH c AS ({CLUSTERED_TAXA_SQL}),{COUNTS_SQL}\n{select}"
+
+
+def _clustered_taxa(spark, sf):
+    from ..operators.dbscan import dbscan
+    e = taxa_ops.enrich_taxa(fx.observations(spark, sf), fx.taxa_cache(spark, sf))
+    return dbscan(quality.with_year(fx.projected(e)), EPS, MIN_SAMPLES)
+
+
+def _features(clustered):
+    return clustered.where(F.col("cluster_id") != -1).select(
+        F.col("cluster_year").alias("year"), "cluster_id").distinct()
+
+
+@register("taxon_counts", _summary_sql("SELECT * FROM counts"), ("proj", "taxa"))
+def q_taxon_counts(spark, sf):
+    from ..operators.summary import taxon_counts
+    return taxon_counts(_clustered_taxa(spark, sf))
+
+
+@register("top_taxa", _summary_sql("""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY grade_key, year, cluster_id
+                                            ORDER BY n_obs DESC, label) AS rank FROM counts) r
+WHERE rank <= 5"""), ("proj", "taxa"))
+def q_top_taxa(spark, sf):
+    from ..operators.summary import taxon_counts, top_taxa
+    return top_taxa(taxon_counts(_clustered_taxa(spark, sf)), 5)
+
+
+@register("available_grades", _summary_sql(
+    "SELECT DISTINCT grade FROM base WHERE grade IS NOT NULL"), ("proj", "taxa"))
+def q_available_grades(spark, sf):
+    from ..operators.summary import available_grades
+    return available_grades(_clustered_taxa(spark, sf))
+
+
+@register("year_list", _summary_sql("""
+SELECT string_agg(CAST(year AS VARCHAR), ',' ORDER BY year) AS years, CAST(count(*) AS INT) AS n_years,
+       min(year) AS min_year, max(year) AS max_year
+FROM (SELECT DISTINCT year FROM features) y"""), ("proj", "taxa"))
+def q_year_list(spark, sf):
+    from ..operators.summary import year_list
+    return year_list(_features(_clustered_taxa(spark, sf)))
+
+
+@register("bounds", _summary_sql(f"""
+SELECT cluster_year AS year, round(min(E_lv95) - {EPS}, 3) AS min_e, round(min(N_lv95) - {EPS}, 3) AS min_n,
+       round(max(E_lv95) + {EPS}, 3) AS max_e, round(max(N_lv95) + {EPS}, 3) AS max_n
+FROM c WHERE cluster_id <> -1 AND cluster_year IS NOT NULL GROUP BY ROLLUP (cluster_year)"""), ("proj", "taxa"))
+def q_bounds(spark, sf):
+    from ..operators.summary import bounds
+    b = bounds(_clustered_taxa(spark, sf), EPS)
+    return b.select("year", *[F.round(c, 3).alias(c) for c in ("min_e", "min_n", "max_e", "max_n")])
+
+
+@register("visible_features", _summary_sql("""
+SELECT f.year, f.cluster_id FROM features f
+WHERE EXISTS (SELECT 1 FROM counts k WHERE k.grade_key = 'research' AND k.year = f.year
+              AND k.cluster_id = f.cluster_id AND k.n_obs > 0)"""), ("proj", "taxa"))
+def q_visible_features(spark, sf):
+    from ..operators.summary import taxon_counts, visible_features
+    c = _clustered_taxa(spark, sf)
+    return visible_features(_features(c), taxon_counts(c), "research")
+
+
+@register("cluster_style", _summary_sql("""
+SELECT year, cluster_id, CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS INT) AS hue,
+       'hsl(' || CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS VARCHAR) || ', 70%, 35%)' AS stroke,
+       'hsl(' || CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS VARCHAR) || ', 80%, 65%)' AS fill
+FROM features"""), ("proj", "taxa"))
+def q_cluster_style(spark, sf):
+    from ..operators.summary import cluster_style
+    return cluster_style(_features(_clustered_taxa(spark, sf)))
+
+
+# --- reprojection (P5) --------------------------------------------------------------
+
+def lv95_to_wgs84_sql(src: str, e: str, n: str, iterations: int = 6) -> str:
+    """SQL text for the same steps as :func:`alpina.functions.geo.with_wgs84` (one CTE per step)."""
+    import math
+    from ..functions import geo
+    c = geo.BERN
+
+    def d(v):
+        return f"CAST({float(v)!r} AS DOUBLE)"
+
+    cb0, sb0 = d(math.cos(c["b0"])), d(math.sin(c["b0"]))
+    q = [f"w0 AS (SELECT *, ({e} - {d(2600000.0)}) / {d(c['r'])} AS l, "
+         f"{d(2.0)} * (atan(exp(({n} - {d(1200000.0)}) / {d(c['r'])})) - {d(math.pi / 4)}) AS bb FROM {src})",
+         f"w1 AS (SELECT *, asin({cb0} * sin(bb) + {sb0} * cos(bb) * cos(l)) AS b, "
+         f"{d(c['lam0'])} + atan2(sin(l), {cb0} * cos(l) - {sb0} * tan(bb)) / {d(c['alpha'])} AS lam FROM w0)",
+         f"w2 AS (SELECT *, (ln(tan({d(math.pi / 4)} + b / {d(2.0)})) - {d(c['k'])}) / {d(c['alpha'])} AS sb, "
+         f"b AS phi0 FROM w1)"]
+    for i in range(iterations):
+        q.append(f"p{i + 1} AS (SELECT *, {d(2.0)} * atan(exp(sb + {d(c['e'])} * ln(tan({d(math.pi / 4)} + "
+                 f"asin({d(c['e'])} * sin(phi{i})) / {d(2.0)})))) - {d(math.pi / 2)} AS phi{i + 1} "
+                 f"FROM {'w2' if i == 0 else f'p{i}'})")
+    ph = f"phi{iterations}"
+    q.append(f"g0 AS (SELECT *, {d(geo.BESSEL_A)} / sqrt({d(1.0)} - {d(geo.BESSEL_E2)} * sin({ph}) * sin({ph})) AS nb "
+             f"FROM p{iterations})")
+    q.append(f"g1 AS (SELECT *, nb * cos({ph}) * cos(lam) + {d(geo.SHIFT_DX)} AS gx, "
+             f"nb * cos({ph}) * sin(lam) + {d(geo.SHIFT_DY)} AS gy, "
+             f"nb * ({d(1.0)} - {d(geo.BESSEL_E2)}) * sin({ph}) + {d(geo.SHIFT_DZ)} AS gz FROM g0)")
+    q.append("g2 AS (SELECT *, sqrt(gx * gx + gy * gy) AS pp FROM g1)")
+    q.append("t0 AS (SELECT *, atan(gz / pp) AS lat0 FROM g2)")
+    for i in range(iterations):
+        lat = f"lat{i}"
+        q.append(f"t{i + 1} AS (SELECT *, atan((gz + {d(geo.WGS84_E2)} * ({d(geo.WGS84_A)} / sqrt({d(1.0)} - "
+                 f"{d(geo.WGS84_E2)} * sin({lat}) * sin({lat}))) * sin({lat})) / pp) AS lat{i + 1} FROM t{i})")
+    q.append(f"wgs AS (SELECT *, degrees(atan2(gy, gx)) AS lon_wgs84, degrees(lat{iterations}) AS lat_wgs84 "
+             f"FROM t{iterations})")
+    return ",\n".join(q)
+
+
+@register("reproject_wgs84", "WITH " + lv95_to_wgs84_sql("proj", "E_lv95", "N_lv95") + """
+SELECT observation_uuid, round(lon_wgs84, 7) AS lon_wgs84, round(lat_wgs84, 7) AS lat_wgs84,
+       round(longitude, 7) AS longitude, round(latitude, 7) AS latitude FROM wgs""", ("proj",))
+def q_reproject_wgs84(spark, sf):
+    from ..functions.geo import with_wgs84
+    p = with_wgs84(fx.projected(fx.observations(spark, sf)), "E_lv95", "N_lv95")
+    return p.select("observation_uuid", F.round("lon_wgs84", 7).alias("lon_wgs84"),
+                    F.round("lat_wgs84", 7).alias("lat_wgs84"),
+                    F.round("longitude", 7).alias("longitude"), F.round("latitude", 7).alias("latitude"))
