@@ -30,6 +30,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .components import connected_components
 from .neighbours import neighbour_pairs
 from .ranking import rank_within
@@ -121,7 +122,10 @@ def dbscan(points: DataFrame, eps: float = 500.0, min_samples: int = 10, key: st
            part: str = "cluster_year", dims: list[str] | None = None) -> DataFrame:
     """C1 + C2: the input rows plus ``cluster_local_id`` and ``cluster_id`` (-1 = noise/unclustered)."""
     dims = dims or ["E_lv95", "N_lv95"]
-    labels = dbscan_positions(points, eps, min_samples, key, part, dims)
+    # freeze the (often long) input plan once: every clustering job below then
+    # starts from a flat table holding only the key, the partition and the coordinates
+    slim = cut_lineage(points.where(_valid(part, dims)).select(part, key, *dims))
+    labels = dbscan_positions(slim, eps, min_samples, key, part, dims)
     nums = cluster_numbers(labels, part)
     lab = labels.join(nums, [part, "root"], "left").select(part, *dims, "cluster_local_id", "cluster_id")
     out = points.join(lab, [part] + dims, "left")

@@ -170,9 +170,9 @@ CROSS JOIN (SELECT * FROM nation WHERE n_nationkey < 10) py""",
 
 def with_views(body: str, *views: str) -> str:
     """Prefix ``body`` with the named views (and what they depend on) as CTEs."""
-    order = ["obs", "taxa", "proj", "keyed", "dem_pixel", "urls", "elev"]
+    order = ["obs", "taxa", "proj", "keyed", "dem_pixel", "urls", "elev", "catalog"]
     deps = {"obs": [], "taxa": [], "proj": ["obs"], "keyed": ["proj"], "dem_pixel": ["keyed"],
-            "urls": ["keyed"], "elev": ["keyed", "dem_pixel"]}
+            "urls": ["keyed"], "elev": ["keyed", "dem_pixel"], "catalog": []}
     need: set[str] = set()
 
     def add(v):
@@ -237,3 +237,34 @@ FROM keyed k LEFT JOIN dem_pixel d
   ON d.tile_key = CAST(k.te AS VARCHAR) || '-' || CAST(k.tn AS VARCHAR)
  AND d.px = CAST(trunc((k.E_lv95 - CAST(d.x0 AS DOUBLE)) / CAST(100 AS DOUBLE)) AS INT)
  AND d.py = CAST(trunc((k.N_lv95 - CAST(d.y0 AS DOUBLE)) / CAST(-100 AS DOUBLE)) AS INT)"""
+
+
+def dataset_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset paths a pipeline run would have written, one per (year, priority, status) of ``orders``.
+
+    The five priorities map to five naming shapes: filtered+enriched, several
+    tags with ``needs_id``, enrichment only, ``enriched`` before ``filtered``,
+    and a raw upper-case ``.CSV`` name.
+    """
+    o = read_table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("y"), F.substring("o_orderpriority", 1, 1).alias("p"), "o_orderstatus").distinct()
+    y = F.col("y").cast("string")
+    s = F.lower(F.col("o_orderstatus"))
+    name = (F.when(F.col("p") == "1", F.concat(F.lit("obs"), y, F.lit("_"), s, F.lit("_filtered_position_enriched_taxa.csv")))
+             .when(F.col("p") == "2", F.concat(F.lit("obs"), y, F.lit("_filtered_position_grade_needs_id_"), s,
+                                               F.lit("_enriched_taxa_elevation.csv")))
+             .when(F.col("p") == "3", F.concat(F.lit("obs"), y, F.lit("_"), s, F.lit("_enriched_elevation.csv")))
+             .when(F.col("p") == "4", F.concat(F.lit("Obs"), y, F.lit("_enriched_taxa_filtered_elevation_"), s, F.lit(".csv")))
+             .otherwise(F.concat(F.lit("OBS"), y, F.lit("_"), s, F.lit(".CSV"))))
+    return o.select(F.concat(F.lit("processed/"), name).alias("path"))
+
+
+VIEW_SQL["catalog"] = """
+SELECT 'processed/' || CASE p
+  WHEN '1' THEN 'obs' || y || '_' || s || '_filtered_position_enriched_taxa.csv'
+  WHEN '2' THEN 'obs' || y || '_filtered_position_grade_needs_id_' || s || '_enriched_taxa_elevation.csv'
+  WHEN '3' THEN 'obs' || y || '_' || s || '_enriched_elevation.csv'
+  WHEN '4' THEN 'Obs' || y || '_enriched_taxa_filtered_elevation_' || s || '.csv'
+  ELSE 'OBS' || y || '_' || s || '.CSV' END AS path
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y, substring(o_orderpriority, 1, 1) AS p,
+             lower(o_orderstatus) AS s FROM orders) q"""

@@ -471,3 +471,88 @@ def q_reproject_wgs84(spark, sf):
     return p.select("observation_uuid", F.round("lon_wgs84", 7).alias("lon_wgs84"),
                     F.round("lat_wgs84", 7).alias("lat_wgs84"),
                     F.round("longitude", 7).alias("longitude"), F.round("latitude", 7).alias("latitude"))
+
+
+# --- footprints (G1-G6, K4, K5): geometry is checked by invariants in the tests ------------
+
+def _footprint_base(spark, sf):
+    from ..operators.dbscan import dbscan
+    return dbscan(quality.with_year(fx.projected(_elevated(spark, sf))), EPS, MIN_SAMPLES)
+
+
+@register("footprint_arcs_area")
+def q_footprint_arcs_area(spark, sf):
+    from ..operators.footprint import arc_area, boundary_arcs
+    return arc_area(boundary_arcs(_footprint_base(spark, sf), EPS), EPS)
+
+
+@register("footprint_polygons")
+def q_footprint_polygons(spark, sf):
+    from ..operators.footprint import boundary_arcs, footprint_vertices
+    v = footprint_vertices(boundary_arcs(_footprint_base(spark, sf), EPS), EPS)
+    return v.groupBy("cluster_id").agg(F.countDistinct("part").alias("n_parts"),
+                                       F.countDistinct("part", "ring").alias("n_rings"),
+                                       F.count(F.lit(1)).alias("n_vertices"))
+
+
+@register("footprint_geojson")
+def q_footprint_geojson(spark, sf):
+    from ..operators.dbscan import cluster_summary
+    from ..operators.footprint import footprints
+    from ..sinks.writers import feature_json
+    c = _footprint_base(spark, sf)
+    return feature_json(footprints(c, EPS, cluster_summary(c)))
+
+
+@register("footprint_geojson_wgs84")
+def q_footprint_geojson_wgs84(spark, sf):
+    from ..operators.dbscan import cluster_summary
+    from ..operators.footprint import footprints
+    from ..sinks.writers import feature_json
+    c = _footprint_base(spark, sf)
+    return feature_json(footprints(c, EPS, cluster_summary(c), wgs84=True))
+
+
+# --- dataset catalog (N1-N4, N6-N8, K6) ----------------------------------------------------
+
+@register("parse_tags")
+def q_parse_tags(spark, sf):
+    from ..operators.catalog import with_tags
+    t = with_tags(fx.dataset_catalog(spark, sf))
+    return t.select("path", *[F.array_join(c, ",").alias(c) for c in
+                              ("sel_filters", "sel_enrichments", "prefix", "filters", "enrichments")])
+
+
+@register("name_dataset")
+def q_name_dataset(spark, sf):
+    from ..functions.tags import name_with_tags
+    c = fx.dataset_catalog(spark, sf)
+    step = c.withColumn("filtered_name", name_with_tags("path", "filtered", ["Grade", "needs_id"]))
+    return step.withColumn("enriched_name", name_with_tags("filtered_name", "enriched", ["taxa"]))
+
+
+@register("best_dataset")
+def q_best_dataset(spark, sf):
+    from ..operators.catalog import best_dataset
+    return best_dataset(fx.dataset_catalog(spark, sf), include_filter=["position"], exclude_enrich=["elevation"],
+                        raw_default="observations_swiss.csv")
+
+
+@register("cluster_label")
+def q_cluster_label(spark, sf):
+    from ..functions.tags import abbreviated_name, decode_abbreviated, human_label
+    c = fx.dataset_catalog(spark, sf).withColumn(
+        "clusters_file", F.concat(F.lit("clusters-run/"), abbreviated_name("path")))
+    d = decode_abbreviated("clusters_file")
+    return c.select("path", "clusters_file", human_label(d).alias("label"))
+
+
+@register("manifest_append")
+def q_manifest_append(spark, sf):
+    from ..functions.tags import abbreviated_name
+    from ..operators.ranking import global_rank
+    from ..sinks.writers import manifest_append
+    names = fx.dataset_catalog(spark, sf).select(
+        F.concat(F.lit("clusters-run/"), abbreviated_name("path")).alias("entry")).distinct()
+    manifest = global_rank(names, ["entry"], out="pos")
+    return manifest_append(manifest, "clusters-new\\obs_clusters_filtered_p.csv")
