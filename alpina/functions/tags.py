@@ -139,7 +139,7 @@ def abbreviated_name(path) -> Column:
     enrich = F.when(has_f, F.when(has_e_after, _after(after_f, ENRICHED)).otherwise(empty)).otherwise(_after(parts, ENRICHED))
     initials = lambda a: F.transform(a, lambda s: F.lower(F.substring(s, 1, 1)))
     fa, ea = initials(filters), initials(enrich)
-    first = F.coalesce(F.element_at(parts, 1), F.lit(DEFAULT_PREFIX))
+    first = F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit(DEFAULT_PREFIX))
     out = F.concat(F.array(first, F.lit(CLUSTERS)),
                    F.when(F.size(fa) > 0, F.concat(F.array(F.lit(FILTERED)), fa)).otherwise(empty),
                    F.when(F.size(ea) > 0, F.concat(F.array(F.lit(ENRICHED)), ea)).otherwise(empty))
