@@ -556,3 +556,36 @@ def q_manifest_append(spark, sf):
         F.concat(F.lit("clusters-run/"), abbreviated_name("path")).alias("entry")).distinct()
     manifest = global_rank(names, ["entry"], out="pos")
     return manifest_append(manifest, "clusters-new\\obs_clusters_filtered_p.csv")
+
+
+SEL_TAGS_SQL = """
+WITH s AS (SELECT path, list_filter(string_split(lower(regexp_extract(regexp_extract(path, '[^/]*$'),
+                   '^(.+?)(\\.[^.]*)?$', 1)), '_'), lambda x: x <> '') AS parts FROM catalog),
+a AS (SELECT *, list_position(parts, 'filtered') AS fi, list_position(parts, 'enriched') AS ei0 FROM s),
+b AS (SELECT *, CASE WHEN fi IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(parts, fi + 1, len(parts)) END AS af
+      FROM a),
+c AS (SELECT *, list_position(af, 'enriched') AS ei FROM b),
+t AS (SELECT path,
+        CASE WHEN fi IS NULL THEN CAST([] AS VARCHAR[]) WHEN ei IS NULL THEN af ELSE list_slice(af, 1, ei - 1) END AS f,
+        CASE WHEN fi IS NOT NULL THEN (CASE WHEN ei IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(af, ei + 1, len(af)) END)
+             WHEN ei0 IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(parts, ei0 + 1, len(parts)) END AS e
+      FROM c)"""
+
+
+@register("selection_tags", SEL_TAGS_SQL + """
+SELECT path, array_to_string(f, ',') AS sel_filters, array_to_string(e, ',') AS sel_enrichments FROM t""",
+          ("catalog",))
+def q_selection_tags(spark, sf):
+    from ..functions.tags import selection_tags
+    f, e = selection_tags(F.col("path"))
+    return fx.dataset_catalog(spark, sf).select(
+        "path", F.array_join(f, ",").alias("sel_filters"), F.array_join(e, ",").alias("sel_enrichments"))
+
+
+@register("best_dataset_position", SEL_TAGS_SQL + """
+SELECT path, CAST(len(f) AS INT) AS n_filters, CAST(len(e) AS INT) AS n_enrichments FROM t
+WHERE path LIKE '%.csv' AND list_contains(f, 'position') AND NOT list_contains(e, 'elevation')
+ORDER BY n_filters DESC, n_enrichments DESC, path LIMIT 1""", ("catalog",))
+def q_best_dataset_position(spark, sf):
+    from ..operators.catalog import best_dataset
+    return best_dataset(fx.dataset_catalog(spark, sf), include_filter=["position"], exclude_enrich=["elevation"])
