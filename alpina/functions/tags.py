@@ -172,3 +172,18 @@ def human_label(decoded) -> Column:
     etxt = F.when(F.size(d["enrichments"]) > 0, F.array_join(exp(d["enrichments"], emap), ", ")).otherwise(F.lit(NO_TAG_LABEL))
     prefix = F.when(d["folder"] != "", F.concat(d["folder"], F.lit(" | "))).otherwise(F.lit(""))
     return F.concat(prefix, F.lit("Filtres: "), ftxt, F.lit(" | Enrichissements: "), etxt)
+
+
+def combined_name(paths, default_prefix: str = "combined", ext: str = ".csv") -> Column:
+    """N3 for a merged table (aggregate): first non-empty prefix of the inputs
+    (else ``combined``) plus the ordered union of all their tags.
+
+    ``paths`` is an ``array<string>`` of input paths in input order, e.g.
+    ``collect_list`` of a group sorted by input position.
+    """
+    secs = F.transform(_c(paths), lambda p: section_tags(p))
+    prefixes = F.filter(F.transform(secs, lambda s: F.array_join(s["prefix"], "_")), lambda s: s != "")
+    prefix = F.coalesce(F.try_element_at(prefixes, F.lit(1)), F.lit(default_prefix))
+    filters = normalise_tags(F.flatten(F.transform(secs, lambda s: s["filters"])))
+    enrich = normalise_tags(F.flatten(F.transform(secs, lambda s: s["enrichments"])))
+    return render_name(F.lit(""), F.array(prefix), filters, enrich, F.lit(ext))

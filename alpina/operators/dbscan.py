@@ -25,6 +25,7 @@ Plan:
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import DataFrame
@@ -45,6 +46,51 @@ def _valid(part: str, dims: list[str]):
     return ok
 
 
+SUB_PER_FINE = 3
+
+
+def _auto_offsets(d: int) -> list[tuple[int, ...]]:
+    """Sub-cell offsets whose farthest corners are within eps (side = eps / (K sqrt d))."""
+    lim = SUB_PER_FINE * SUB_PER_FINE * d
+    rng = range(-SUB_PER_FINE - 1, SUB_PER_FINE + 2)
+    return [o for o in itertools.product(rng, repeat=d)
+            if any(o) and sum((abs(v) + 1) ** 2 for v in o) <= lim]
+
+
+def _fine_offsets(d: int, eps: float, fine: float) -> list[tuple[int, ...]]:
+    """Fine-cell offsets whose nearest corners may be within eps."""
+    r = int(math.ceil(eps / fine))
+    return [o for o in itertools.product(range(-r, r + 1), repeat=d)
+            if any(o) and sum(max(abs(v) - 1, 0) ** 2 for v in o) * (fine * (1 - 1e-6)) ** 2 <= eps * eps]
+
+
+def _offset_join(a: DataFrame, b: DataFrame, offsets, part: str, cells: list[str]) -> DataFrame:
+    """Rows of ``a`` paired with rows of ``b`` whose cell is ``a``'s cell plus one of ``offsets``."""
+    k = len(cells)
+    stencil = F.array(*[F.struct(*[(F.col(cells[i]) + F.lit(o[i])).alias(f"t{i}") for i in range(k)])
+                        for o in offsets])
+    A = a.select(*[F.col(c).alias("a_" + c) for c in a.columns], F.explode(stencil).alias("_o")) \
+         .select("*", *[F.col(f"_o.t{i}").alias(f"_t{i}") for i in range(k)]).drop("_o")
+    B = b.select(*[F.col(c).alias("b_" + c) for c in b.columns])
+    cond = [F.col("a_" + part) == F.col("b_" + part)] + [F.col(f"_t{i}") == F.col("b_" + cells[i]) for i in range(k)]
+    return A.join(B, cond).drop(*[f"_t{i}" for i in range(k)])
+
+
+def _edge_rows(pairs: DataFrame, part: str) -> DataFrame:
+    pk = F.col("a_" + part).alias(part)
+    return (pairs.where(F.col("a_node") != F.col("b_node"))
+                 .select(F.struct(pk, F.least("a_node", "b_node").alias("node")).alias("src"),
+                         F.struct(pk, F.greatest("a_node", "b_node").alias("node")).alias("dst"))
+                 .distinct())
+
+
+def _components(nodes: DataFrame, edges: DataFrame, part: str) -> DataFrame:
+    """``(part, node, root)`` from struct-keyed nodes/edges (ids unique per partition)."""
+    comp = connected_components(nodes, edges, node="node")
+    return comp.select(F.col("node." + part).alias(part), F.col("node.node").alias("node"),
+                       F.col("root.node").alias("root"))
+
+
 def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str, part: str,
                      dims: list[str]) -> DataFrame:
     """Labels per distinct position: ``(part, dims..., pid, w, is_core, root)``.
@@ -57,9 +103,13 @@ def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str,
     pos = (points.where(_valid(part, dims))
                  .groupBy(part, *dims)
                  .agg(F.min(key).alias("pid"), F.count(F.lit(1)).alias("w")))
-    fcols = [F.floor(F.col(c) / F.lit(fine)).cast("long").alias(f"f{i}") for i, c in enumerate(dims)]
+    # sub-cells of side fine/K; a fine cell is exactly K x K (x K) sub-cells
+    sub = fine / SUB_PER_FINE
+    snames = [f"s{i}" for i in range(d)]
     fnames = [f"f{i}" for i in range(d)]
-    pos = pos.select("*", *fcols)
+    pos = pos.select("*", *[F.floor(F.col(c) / F.lit(sub)).cast("long").alias(snames[i]) for i, c in enumerate(dims)])
+    pos = pos.select("*", *[F.floor(F.col(snames[i]) / F.lit(SUB_PER_FINE)).cast("long").alias(fnames[i])
+                            for i in range(d)])
     cellw = pos.groupBy(part, *fnames).agg(F.sum("w").alias("cw"))
     pos = pos.join(cellw, [part] + fnames).persist()
 
@@ -77,18 +127,41 @@ def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str,
     # 4. one graph node per fine cell holding core positions
     core = pos.where("is_core")
     cell_node = core.groupBy(part, *fnames).agg(F.min("pid").alias("node"))
-    core = core.join(cell_node, [part] + fnames).select(part, *dims, "pid", "node", *fnames).persist()
-    cc_pairs = neighbour_pairs(core.select(part, *dims, "node"), core.select(part, *dims, "node"),
-                               eps, dims, part)
-    # node ids are order keys, unique across partitions only together with the partition
-    pk = F.col("a_" + part).alias(part)
-    edges = (cc_pairs.where(F.col("a_node") < F.col("b_node"))
-                     .select(F.struct(pk, F.col("a_node").alias("node")).alias("src"),
-                             F.struct(pk, F.col("b_node").alias("node")).alias("dst"))
-                     .distinct())
-    comp = connected_components(cell_node.select(F.struct(part, "node").alias("node")), edges, node="node")
-    comp = comp.select(F.col("node." + part).alias(part), F.col("node.node").alias("node"),
-                       F.col("root.node").alias("root"))
+    core = core.join(cell_node, [part] + fnames).select(part, *dims, "pid", "node", *fnames, *snames).persist()
+    nodes = cell_node.select(F.struct(part, "node").alias("node"))
+
+    # 4a. certain edges: two core sub-cells whose farthest corners are within eps
+    #     connect their cells with no point test (work ~ occupied sub-cells)
+    csub = core.select(part, *snames, "node").distinct()
+    auto = _offset_join(csub, csub, _auto_offsets(d), part, snames)
+    auto_edges = _edge_rows(auto, part)
+    comp1 = _components(nodes, auto_edges, part)
+
+    # 4b. point tests only between neighbouring cells still in different components
+    cells = cell_node.join(comp1, [part, "node"]).select(part, *fnames, "node", "root")
+    cand = _offset_join(cells, cells, _fine_offsets(d, eps, fine), part, fnames) \
+        .where((F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))) \
+        .select(F.col("a_" + part).alias(part), F.col("a_node").alias("na"), F.col("b_node").alias("nb")).distinct()
+    pa = core.select(part, F.col("node").alias("na"), *[F.col(c).alias("x_" + c) for c in dims])
+    pb = core.select(part, F.col("node").alias("nb"), *[F.col(c).alias("y_" + c) for c in dims])
+    d2 = None
+    for c in dims:
+        t = (F.col("x_" + c) - F.col("y_" + c)) * (F.col("x_" + c) - F.col("y_" + c))
+        d2 = t if d2 is None else d2 + t
+    tested = (cand.join(pa, [part, "na"]).join(pb, [part, "nb"]).where(d2 <= F.lit(float(eps) * float(eps)))
+                  .select(part, "na", "nb").distinct()
+                  .join(comp1.select(part, F.col("node").alias("na"), F.col("root").alias("ra")), [part, "na"])
+                  .join(comp1.select(part, F.col("node").alias("nb"), F.col("root").alias("rb")), [part, "nb"])
+                  .where(F.col("ra") != F.col("rb"))
+                  .select(F.struct(F.col(part), F.col("ra").alias("node")).alias("src"),
+                          F.struct(F.col(part), F.col("rb").alias("node")).alias("dst")).distinct())
+    tested = tested.persist()
+    if tested.limit(1).count() == 0:
+        comp = comp1
+    else:
+        roots = comp1.select(F.struct(part, F.col("root").alias("node")).alias("node")).distinct()
+        comp2 = _components(roots, tested, part).select(part, F.col("node").alias("root"), F.col("root").alias("root2"))
+        comp = comp1.join(comp2, [part, "root"]).select(part, "node", F.col("root2").alias("root"))
     core_lab = core.join(comp, [part, "node"]).select(part, "pid", "root").persist()
 
     # 5. border points: smallest root among core neighbours

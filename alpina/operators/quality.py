@@ -81,3 +81,9 @@ def year_column(df: DataFrame, year_field: str = "year", date_field: str = "obse
 
 def with_year(df: DataFrame, out: str = "cluster_year", **kw) -> DataFrame:
     return df.withColumn(out, year_column(df, **kw))
+
+
+def row_counts(df: DataFrame, year_col: str = "cluster_year") -> DataFrame:
+    """A5: total rows and rows without a usable year (these stay out of the clustering)."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count_if(F.col(year_col).isNull()).alias("n_without_year"))

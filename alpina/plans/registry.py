@@ -589,3 +589,17 @@ ORDER BY n_filters DESC, n_enrichments DESC, path LIMIT 1""", ("catalog",))
 def q_best_dataset_position(spark, sf):
     from ..operators.catalog import best_dataset
     return best_dataset(fx.dataset_catalog(spark, sf), include_filter=["position"], exclude_enrich=["elevation"])
+
+
+@register("row_counts", """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE year IS NULL) AS n_without_year FROM obs""", ("obs",))
+def q_row_counts(spark, sf):
+    return quality.row_counts(quality.with_year(fx.observations(spark, sf)))
+
+
+@register("combined_name")
+def q_combined_name(spark, sf):
+    from ..functions.tags import combined_name
+    c = fx.dataset_catalog(spark, sf).withColumn("y", F.regexp_extract("path", r"(\d{4})", 1))
+    groups = c.groupBy("y").agg(F.sort_array(F.collect_list("path")).alias("inputs"))
+    return groups.select("y", combined_name("inputs").alias("combined_name"))

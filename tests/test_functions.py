@@ -112,3 +112,11 @@ def test_abbreviated_names(spark):
     assert n == "observations_clusters_filtered_p_e_enriched_e_t.csv"
     d = spark.createDataFrame([("run-1/" + n,)], "p string").select(human_label(decode_abbreviated("p"))).first()[0]
     assert d == "run-1 | Filtres: position, elevation | Enrichissements: elevation, taxa"
+
+
+def test_combined_name(spark):
+    from alpina.functions.tags import combined_name
+    df = spark.createDataFrame([(["a/obs_filtered_position.csv", "b/obs_enriched_taxa_filtered_grade.csv"],),
+                                (["filtered_x.csv"],)], "p array<string>")
+    got = [r[0] for r in df.select(combined_name("p")).collect()]
+    assert got == ["obs_filtered_position_grade_enriched_taxa.csv", "combined_filtered_x.csv"]
