@@ -171,3 +171,15 @@ def test_stream_enrichment_smoke(spark, tmpdir_path):
     q.awaitTermination(120)
     n = spark.sql("SELECT count(*) AS n FROM alpina_stream_smoke").first().n
     assert n == 504
+
+
+def test_footprint_prune_is_exact(spark):
+    rnd = random.Random(5)
+    pts = [(1, rnd.uniform(0, 8), rnd.uniform(0, 8)) for _ in range(400)] + \
+          [(2, rnd.uniform(20, 23), rnd.uniform(0, 3)) for _ in range(60)]
+    df = spark.createDataFrame(pts, "cluster_id int, E_lv95 double, N_lv95 double")
+    full = {r.cluster_id: r for r in arc_area(boundary_arcs(df, 1.0, prune=False), 1.0).collect()}
+    pruned = {r.cluster_id: r for r in arc_area(boundary_arcs(df, 1.0), 1.0).collect()}
+    assert full.keys() == pruned.keys()
+    for k in full:
+        assert full[k].n_arcs == pruned[k].n_arcs and abs(full[k].area - pruned[k].area) < 1e-6
