@@ -51,7 +51,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
     undirected ``(src, dst)`` pairs. Node ids may be of any orderable type.
     """
     E = cut_lineage(_sym(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))))
-    prev = _signature(E)
+    prev = None  # the first round always runs
     for _ in range(max_rounds):
         # each round reads the previous edge table several times: without a
         # real lineage cut the logical plan would grow exponentially
