@@ -17,16 +17,9 @@ from ..session import cut_lineage
 
 
 def _sym(e: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """Both orientations, deduplicated, hash-partitioned by ``src``.
-
-    The partitioning survives the checkpoint, so the next round's group-by on
-    ``src`` and its self-join on ``src`` run without another shuffle.
-    """
     e = e.where(F.col(u) != F.col(v))
-    n = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (e.select(F.col(u).alias("src"), F.col(v).alias("dst"))
              .unionByName(e.select(F.col(v).alias("src"), F.col(u).alias("dst")))
-             .repartition(n, "src")
              .distinct())
 
 
