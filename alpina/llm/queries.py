@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import exact_dedup, mixing
 from .common import read_table
 
 
@@ -45,3 +45,15 @@ SELECT doc_id, size, source_size, target, (epochs * size + part)::BIGINT AS take
        (CASE WHEN part = size AND size > 0 THEN 0 ELSE part END)::BIGINT AS partial
 FROM q""",
 }
+
+
+def op5_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_exact_dedup"] = op5_exact_dedup
+ORACLE["op5_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+r AS (SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w = 1 AS kept, count(*) OVER (PARTITION BY text_sha256) AS group_size
+      FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r"""
