@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, warc_index
 from .common import read_table
 
 
@@ -57,3 +57,10 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 r AS (SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w = 1 AS kept, count(*) OVER (PARTITION BY text_sha256) AS group_size
       FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST))
 SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r"""
+
+
+def op10_warc_index(spark, sf_dir):
+    return warc_index.archive_round_trip(read_table(spark, sf_dir, "pages")).drop("url")
+
+
+QUERIES["op10_warc_index"] = op10_warc_index
