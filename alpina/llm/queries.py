@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, warc_index
+from . import exact_dedup, mixing, token_output, warc_index
 from .common import read_table
 
 
@@ -64,3 +64,10 @@ def op10_warc_index(spark, sf_dir):
 
 
 QUERIES["op10_warc_index"] = op10_warc_index
+
+
+def op8_token_output(spark, sf_dir):
+    return token_output.token_round_trip(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op8_token_output"] = op8_token_output
