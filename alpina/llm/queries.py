@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, token_output, warc_index
+from . import exact_dedup, mixing, positional_index, token_output, warc_index
 from .common import read_table
 
 
@@ -71,3 +71,28 @@ def op8_token_output(spark, sf_dir):
 
 
 QUERIES["op8_token_output"] = op8_token_output
+
+
+def op3_decontaminate(spark, sf_dir):
+    return positional_index.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("key")
+
+
+QUERIES["op3_decontaminate"] = op3_decontaminate
+# the word class of DuckDB's regular expressions needs no escapes below; A-Z are lower-cased one by one
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE["op3_decontaminate"] = rf"""
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, array_to_string(w[s + 1 : s + 10], ' ') AS phrase, least(10, len(w)) AS n
+        FROM (SELECT *, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM win),
+d AS (SELECT doc_id, row_number() OVER () AS rid, {_WORDS} AS w FROM documents),
+grams AS (SELECT rid, n, s, array_to_string(w[s + 1 : s + n], ' ') AS phrase
+          FROM (SELECT rid, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, lens WHERE len(w) >= n)),
+hits AS (SELECT g.rid, g.s, g.n, win.item_id FROM grams g JOIN win ON g.phrase = win.phrase AND g.n = win.n),
+per AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM hits) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+        FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hits) GROUP BY rid)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN per USING (rid) LEFT JOIN its USING (rid)"""
