@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, positional_index, token_output, warc_index
+from . import exact_dedup, mixing, positional_index, template_lines, token_output, warc_index
 from .common import read_table
 
 
@@ -96,3 +96,31 @@ its AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY it
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN per USING (rid) LEFT JOIN its USING (rid)"""
+
+
+def op7_template_lines(spark, sf_dir):
+    d = template_lines.drop_template_lines(read_table(spark, sf_dir, "documents"))
+    return d.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_dropped")
+
+
+QUERIES["op7_template_lines"] = op7_template_lines
+ORACLE["op7_template_lines"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+l AS (SELECT rid, i, string_split(coalesce(text, ''), chr(10))[i] AS raw,
+             trim(regexp_replace(regexp_replace(string_split(coalesce(text, ''), chr(10))[i], '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
+                                 '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS line
+      FROM (SELECT rid, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM d)),
+t AS (SELECT *, string_split(line, ' ') AS w FROM l),
+u AS (SELECT line, len(w) AS n, array_to_string(w[1:2], ' ') AS lead, w, count(DISTINCT rid) AS docs FROM t WHERE len(w) >= 4 GROUP BY ALL),
+leaf AS (SELECT n, lead, sum(docs) AS leaf_docs FROM u GROUP BY n, lead HAVING sum(docs) >= 10 AND count(*) > 1),
+o AS (SELECT u.*, leaf_docs FROM u JOIN leaf USING (n, lead)),
+tok AS (SELECT line, n, lead, docs, leaf_docs, unnest(range(1, n + 1)) AS p, unnest(w) AS token FROM o),
+con AS (SELECT n, lead, p, token FROM tok GROUP BY n, lead, p, token, leaf_docs HAVING sum(docs) * 2 > leaf_docs),
+alike AS (SELECT line, n, lead, docs FROM tok JOIN con USING (n, lead, p, token) GROUP BY line, n, lead, docs HAVING count(*) >= n * 0.6),
+general AS (SELECT line FROM alike JOIN (SELECT n, lead FROM alike GROUP BY n, lead HAVING sum(docs) >= 10) USING (n, lead)),
+bad AS (SELECT line FROM u WHERE docs >= 10 UNION SELECT line FROM general),
+r AS (SELECT rid, i, raw, line IN (SELECT line FROM bad) AS gone FROM t)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(g.kept, '') END AS text,
+       CASE WHEN d.text IS NULL THEN 0 ELSE g.n_lines END AS n_lines, g.n_dropped
+FROM d JOIN (SELECT rid, string_agg(raw, chr(10) ORDER BY i) FILTER (NOT gone) AS kept, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped
+             FROM r GROUP BY rid) g USING (rid)"""
