@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +70,45 @@ def open_fs(uri: str):
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri
+
+
+def text_groups(texts: list[str], most: int = 2_000_000) -> Iterator[slice]:
+    """Slices of about ``most`` characters; a longer text is a slice of its own."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def map_texts(docs: DataFrame, make: Callable, fields: str, keep_rows: bool, most: int = 2_000_000) -> DataFrame:
+    """Columns ``fields`` for every document, from its whole text.
+
+    ``make()`` is called once per task and gives a function from a list of texts
+    (null as empty) to a list of columns. The result has ``row`` (the whole
+    input row) with ``keep_rows``, else ``doc_id``.
+    """
+    rows = packed(docs if keep_rows else docs.select("doc_id", "text"))
+
+    def run(batches):
+        import pyarrow as pa
+        call = make()
+        for batch in batches:
+            row = batch.column(0)
+            texts = row.field("text").to_pylist()  # rows are never null themselves
+            kept = row if keep_rows else row.field("doc_id")
+            for part in text_groups(texts := ["" if t is None else str(t) for t in texts], most):
+                columns = call(texts[part])
+                arrays = [pa.array(c, type=kind) for c, kind in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays([kept.slice(part.start, part.stop - part.start), *arrays], names=names)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+    wanted = _parse_datatype_string(fields)
+    first = rows.schema[0] if keep_rows else StructField("doc_id", docs.schema["doc_id"].dataType)
+    schema = StructType([first, *wanted.fields])
+    kinds, names = [to_arrow_type(f.dataType) for f in wanted.fields], schema.fieldNames()
+    return rows.mapInArrow(run, schema)

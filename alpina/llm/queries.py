@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, positional_index, template_lines, token_output, warc_index
+from . import exact_dedup, mixing, positional_index, quality, template_lines, token_output, toxicity, warc_index
 from .common import read_table
 
 
@@ -124,3 +124,15 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(g.kept, '') EN
        CASE WHEN d.text IS NULL THEN 0 ELSE g.n_lines END AS n_lines, g.n_dropped
 FROM d JOIN (SELECT rid, string_agg(raw, chr(10) ORDER BY i) FILTER (NOT gone) AS kept, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped
              FROM r GROUP BY rid) g USING (rid)"""
+
+
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_quality(spark, sf_dir):
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+QUERIES["op1_toxicity"] = op1_toxicity
+QUERIES["op2_quality"] = op2_quality
