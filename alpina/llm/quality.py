@@ -1,7 +1,7 @@
 """Quality scores by a factorisation machine of second order.
 
-Features of a document: its hashed words (value 1/sqrt(distinct words) times
-the damped count), structure statistics in bins, and the metadata ``n_chars``
+Features of a document: its hashed words (``WORD_SCALE``/sqrt(distinct words)
+times the damped count), structure statistics in bins, and the metadata ``n_chars``
 in bins where the table has it. The score is
 ``w0 + sum w_i x_i + 1/2 sum_f [(sum v_if x_i)^2 - sum (v_if x_i)^2]``
 through a logistic function: linear time in the number of features by the
@@ -35,7 +35,8 @@ from .toxicity import MAX_CHARS, labelled_sample, remainder
 WORDS = 1 << 16
 BINS = 16
 RANK = 8
-MAX_EACH = 2500
+WORD_SCALE = 0.5
+MAX_EACH = 2000
 MEMO = 400_000
 TOKENS = re.compile(r"[^\W_]+")
 #: fixed values: byte classes - 0 other ASCII symbols, 1 lower, 2 upper, 3 digit, 4 space, 5 line end, 6 sentence mark, 7 beyond ASCII
@@ -96,12 +97,12 @@ def triples(ids: list[np.ndarray], stats: np.ndarray, edges: np.ndarray) -> tupl
     key, count = np.unique(np.repeat(np.arange(len(ids)), sizes) * WORDS + np.concatenate([*ids, np.zeros(0, np.int64)]), return_counts=True)
     doc, feature = np.divmod(key, WORDS)
     distinct = np.maximum(1, np.bincount(doc, minlength=len(ids)))
-    value = np.log1p(count) / math.log(2) / np.sqrt(distinct[doc])
+    value = WORD_SCALE * np.log1p(count) / math.log(2) / np.sqrt(distinct[doc])
     bins = np.stack([np.searchsorted(edges[j], stats[:, j], side="right") for j in range(STATISTICS)], axis=1)
     s_feature = (WORDS + np.arange(STATISTICS) * BINS + bins).ravel()
     s_doc = np.repeat(np.arange(len(ids)), STATISTICS)
     doc, feature = np.concatenate([doc, s_doc]), np.concatenate([feature, s_feature])
-    value = np.concatenate([value, np.full(len(s_doc), 1 / math.sqrt(STATISTICS))])
+    value = np.concatenate([value, np.ones(len(s_doc))])
     order = np.argsort(doc, kind="stable")
     return doc[order], feature[order], value[order]
 
@@ -185,10 +186,27 @@ def quality_model(docs: DataFrame, labels: DataFrame, divisor: int = 3, held_out
     return train(texts, good, prior=share)
 
 
+_WORKER: dict = {}
+
+
+def worker_scorer(number: int, model: Model) -> Scorer:
+    """The scorer of this Python worker for the model with that broadcast number, kept between tasks."""
+    if number not in _WORKER:
+        _WORKER.clear()
+        _WORKER[number] = Scorer(model)
+    return _WORKER[number]
+
+
 def score_quality(docs: DataFrame, model: Model, keep_rows: bool = False) -> DataFrame:
     """``score`` of every document, with ``doc_id`` or its ``row``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES x (RANK + 1) numbers, about 5 MB
-    return map_texts(docs, lambda: Scorer(shared.value).score, "score double", keep_rows)
+    number = shared._jbroadcast.id()
+
+    def make():
+        from alpina.llm.quality import worker_scorer  # the worker's own module keeps the memo
+        return worker_scorer(number, shared.value).score
+
+    return map_texts(docs, make, "score double", keep_rows)
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
