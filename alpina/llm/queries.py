@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, positional_index, quality, template_lines, token_output, toxicity, warc_index
+from . import exact_dedup, html_content, mixing, positional_index, quality, template_lines, token_output, toxicity, warc_index
 from .common import read_table
 
 
@@ -136,3 +136,10 @@ def op2_quality(spark, sf_dir):
 
 QUERIES["op1_toxicity"] = op1_toxicity
 QUERIES["op2_quality"] = op2_quality
+
+
+def op6_html_content(spark, sf_dir):
+    return html_content.main_text(read_table(spark, sf_dir, "pages"))
+
+
+QUERIES["op6_html_content"] = op6_html_content
