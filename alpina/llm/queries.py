@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_content, mixing, positional_index, quality, template_lines, token_output, toxicity, warc_index
+from . import exact_dedup, html_content, mixing, near_join, positional_index, quality, template_lines, token_output, toxicity, warc_index
 from .common import read_table
 
 
@@ -143,3 +143,10 @@ def op6_html_content(spark, sf_dir):
 
 
 QUERIES["op6_html_content"] = op6_html_content
+
+
+def op9_near_join(spark, sf_dir):
+    return near_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_near_join"] = op9_near_join
