@@ -71,7 +71,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, total_ratio: float = 1.5,
     every = Window.partitionBy()
     s = (s.withColumn("total", F.sum("source_size").over(every) * F.lit(total_ratio))
           .withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest))
-          .withColumn("level", F.min(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))).over(every)))
+          # levels fall once a source stays below its limit: the first such level is the largest
+          .withColumn("level", F.max(F.when(F.col("cap") >= F.col("level") * F.col("weight"), F.col("level"))).over(every)))
     limited = F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))
     return s.select("source", "source_size", "weight", F.coalesce(limited, F.col("cap").cast("double")).alias("target"))
 

@@ -34,7 +34,7 @@ w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST)
 f AS (SELECT *, (sum(source_size) OVER () * 1.5
         - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM w),
-t AS (SELECT *, least(cap::DOUBLE, weight * (SELECT min(lv) FROM f WHERE cap >= lv * weight)) AS target FROM f),
+t AS (SELECT *, least(cap::DOUBLE, weight * (SELECT max(lv) FROM f WHERE cap >= lv * weight)) AS target FROM f),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 p AS (SELECT k.*, e.source_size, e.target, e.epochs, round(e.target)::BIGINT - e.epochs * e.source_size AS rest,
              coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
