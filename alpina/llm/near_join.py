@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import store, text_groups, text_or_empty
+from .common import packed, store, text_groups, text_or_empty, unpacked
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -102,7 +102,7 @@ def set_key(sets: np.ndarray) -> int:
 
 
 def sketched(docs: DataFrame, ngram: int, trees: int, depth: int) -> DataFrame:
-    """Stored ``doc_id, node, n, paths``: the class of each text's shingle set, its size and one path per tree."""
+    """Stored ``doc_id, h, node, n, paths``: a text's hash, the class of its shingle set, the set's size and a path per tree."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -115,10 +115,10 @@ def sketched(docs: DataFrame, ngram: int, trees: int, depth: int) -> DataFrame:
                     sign = signature([sets[i] for i in full], trees * depth).astype(">u4")
                     for i, row in zip(full, sign):
                         paths[i] = row.tobytes()
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[part].astype("Int64"), "node": [set_key(s) if len(s) else -1 for s in sets], "n": [len(s) for s in sets], "paths": paths})
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[part].astype("Int64"), "h": pdf["h"].iloc[part], "node": [set_key(s) if len(s) else -1 for s in sets], "n": [len(s) for s in sets], "paths": paths})
 
     text = text_or_empty("text")
-    return store(docs.select("doc_id", text.alias("text")).mapInPandas(run, "doc_id long, node long, n long, paths binary"), "near-sketches")
+    return store(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h")).mapInPandas(run, "doc_id long, h long, node long, n long, paths binary"), "near-sketches")
 
 
 def candidate_edges(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
@@ -216,15 +216,15 @@ def _verify_pack(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
+def near_groups(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
                     trees: int = TREES, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
-    """``doc_id, class_id, rep_id, n_links`` of every document.
+    """``doc_id, h, grp, class_id, rep_id, n_links`` of every document.
 
-    ``rep_id`` is the smallest id with the same shingle set, ``n_links`` the
-    number of other documents with a similarity of ``threshold`` or more, and
-    ``class_id`` the smallest id that links lead to.
+    ``h`` is the text's hash and ``grp`` the number of its group (null for texts
+    without words). ``rep_id`` is the smallest id with the same shingle set,
+    ``n_links`` the number of other documents with a similarity of ``threshold``
+    or more, and ``class_id`` the smallest id that links lead to.
     """
-    spark = docs.sparkSession
     rows = sketched(docs, ngram, trees, depth)
     full = rows.where("n > 0")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
@@ -265,8 +265,30 @@ def near_duplicates(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRE
     named = named.withColumn("root", F.coalesce("root", "node"))
     named = store(named, "near-named")
     first = named.groupBy("root").agg(F.min("rep").alias("first"))
-    named = store(named.join(first, "root").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("first.doc_id").alias("class_id"),
+    named = store(named.join(first, "root").select("node", F.col("root").alias("grp"), F.col("rep.doc_id").alias("rep_id"), F.col("first.doc_id").alias("class_id"),
                   (F.col("members") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")), "near-result")
-    out = full.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "rep_id", "n_links")
-    alone = rows.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_links"))
+    out = full.select("doc_id", "h", "node").join(named, "node").select("doc_id", "h", "grp", "class_id", "rep_id", "n_links")
+    alone = rows.where("n = 0").select("doc_id", "h", F.lit(None).cast("long").alias("grp"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, class_id, rep_id, n_links`` of every document; see ``near_groups``."""
+    return near_groups(docs, **options).select("doc_id", "class_id", "rep_id", "n_links")
+
+
+def one_per_group(docs: DataFrame, **options) -> DataFrame:
+    """The document with the smallest ``doc_id`` (then text hash) of every group, columns as in ``docs``.
+
+    Texts without words stay. Repeated rows with one ``doc_id`` and text are one document.
+    """
+    groups = store(near_groups(docs, **options).where("grp is not null").select("doc_id", "h", "grp"), "near-kept")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    keys = groups.groupBy("grp", "doc_id", "h").agg(F.count(F.lit(1)).alias("rows"))
+    first = groups.groupBy("grp").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    others = keys.join(first, "grp").select(F.struct("doc_id", "h").alias("key"), "rows", (key == F.col("first")).alias("stays"))
+    others = store(others.where("not stays or rows > 1"), "near-dropped")
+    rows = packed(docs).withColumn("key", F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64(text_or_empty(F.col("row.text"))).alias("h")))
+    out = rows.join(others.select("key"), "key", "left_anti").select("row")
+    repeated = rows.join(others.where("stays").select("key"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row")
+    return unpacked(out.unionByName(repeated), docs.columns)
