@@ -34,7 +34,9 @@ def best_dataset(catalog: DataFrame, path: str = "path", exclude_filter=(), incl
         c = c.where(F.size(F.array_except(lit_arr(include_enrich), F.col("e"))) == 0)
     best = c.select(path, F.size("f").alias("n_filters"), F.size("e").alias("n_enrichments")) \
             .orderBy(F.desc("n_filters"), F.desc("n_enrichments"), F.asc(path)).limit(1)
-    if raw_default is None or best.limit(1).count() > 0:
-        return best
-    spark = catalog.sparkSession
-    return spark.createDataFrame([(raw_default, 0, 0)], f"{path} string, n_filters int, n_enrichments int")
+    # one row at most: collected once, so the choice and its error cost one run
+    found = best.collect()
+    if not found and raw_default is None:
+        raise ValueError("no dataset fits and there is no default")
+    rows = [tuple(r) for r in found] or [(raw_default, 0, 0)]
+    return catalog.sparkSession.createDataFrame(rows, f"{path} string, n_filters int, n_enrichments int")

@@ -6,7 +6,9 @@ Contract (the classic scan-order algorithm, made declarative):
   * clusters are the connected components of core points; within a partition
     they are numbered by ascending smallest order key of their core points;
   * a border point joins the lowest-numbered cluster among its core neighbours;
-  * everything else, and rows with a null partition or coordinate, is -1.
+  * everything else, and rows with a null partition or a null or huge
+    coordinate, is -1. Keys only order the clusters: they may repeat or be
+    null (null first), and ties are broken by the coordinates.
 
 Plan:
   1. collapse exact duplicates to weighted positions (a location holding a
@@ -39,16 +41,22 @@ from .ranking import rank_within
 FINE_SLACK = 1.0 - 1e-9
 
 
-def _valid(part: str, dims: list[str]):
+SUB_PER_FINE = 3
+#: cell numbers stay exact below this; coordinates beyond it are not clustered
+MAX_CELL = float(2 ** 52)
+
+
+def _sub_side(eps: float, d: int) -> float:
+    return float(eps) / math.sqrt(d) * FINE_SLACK / SUB_PER_FINE
+
+
+def _valid(part: str, dims: list[str], eps: float):
     ok = F.col(part).isNotNull()
     for d in dims:
-        ok = ok & F.col(d).isNotNull() & ~F.isnan(d) & (F.abs(F.col(d)) < F.lit(1e300))
+        ok = ok & F.col(d).isNotNull() & ~F.isnan(d) & (F.abs(F.col(d)) < F.lit(MAX_CELL * _sub_side(eps, len(dims))))
     return ok
 
 
-SUB_PER_FINE = 3
-
-
 def _auto_offsets(d: int) -> list[tuple[int, ...]]:
     """Sub-cell offsets whose farthest corners are within eps (side = eps / (K sqrt d))."""
     lim = SUB_PER_FINE * SUB_PER_FINE * d
@@ -95,39 +103,41 @@ def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str,
                      dims: list[str]) -> DataFrame:
     """Labels per distinct position: ``(part, dims..., pid, w, is_core, root)``.
 
-    ``root`` is the smallest order key among the core points of the cluster
-    (null for noise); ``pid`` is the smallest order key at the position.
+    ``pid`` names a position: its smallest order key, then its coordinates, so
+    that equal keys at different places stay apart. ``root`` is the smallest
+    ``pid`` among the core points of the cluster (null for noise).
     """
     d = len(dims)
-    fine = float(eps) / math.sqrt(d) * FINE_SLACK
-    pos = (points.where(_valid(part, dims))
+    fine = _sub_side(eps, d) * SUB_PER_FINE
+    pos = (points.where(_valid(part, dims, eps))
                  .groupBy(part, *dims)
-                 .agg(F.min(key).alias("pid"), F.count(F.lit(1)).alias("w")))
+                 .agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("w"))
+                 .select(part, *dims, F.struct("k", *dims).alias("pid"), "w"))
     # sub-cells of side fine/K; a fine cell is exactly K x K (x K) sub-cells
-    sub = fine / SUB_PER_FINE
+    sub = _sub_side(eps, d)
     snames = [f"s{i}" for i in range(d)]
     fnames = [f"f{i}" for i in range(d)]
     pos = pos.select("*", *[F.floor(F.col(c) / F.lit(sub)).cast("long").alias(snames[i]) for i, c in enumerate(dims)])
     pos = pos.select("*", *[F.floor(F.col(snames[i]) / F.lit(SUB_PER_FINE)).cast("long").alias(fnames[i])
                             for i in range(d)])
     cellw = pos.groupBy(part, *fnames).agg(F.sum("w").alias("cw"))
-    pos = pos.join(cellw, [part] + fnames).persist()
+    pos = cut_lineage(pos.join(cellw, [part] + fnames))
 
     # 3. neighbour counts for positions of sparse cells only
     sparse = pos.where(F.col("cw") < min_samples).select(part, *dims, "pid")
     pairs = neighbour_pairs(sparse, pos.select(part, *dims, "pid", "w"), eps, dims, part) \
         .select(F.col("a_" + part).alias(part), F.col("a_pid").alias("pid"), F.col("b_pid").alias("nb"),
                 F.col("b_w").alias("nw"))
-    pairs = pairs.persist()
+    pairs = cut_lineage(pairs)
     counts = pairs.groupBy(part, "pid").agg(F.sum("nw").alias("n"))
     pos = pos.join(counts, [part, "pid"], "left").withColumn(
         "is_core", (F.col("cw") >= min_samples) | (F.coalesce(F.col("n"), F.lit(0)) >= min_samples)).drop("n")
-    pos = pos.persist()
+    pos = cut_lineage(pos)
 
     # 4. one graph node per fine cell holding core positions
     core = pos.where("is_core")
     cell_node = core.groupBy(part, *fnames).agg(F.min("pid").alias("node"))
-    core = core.join(cell_node, [part] + fnames).select(part, *dims, "pid", "node", *fnames, *snames).persist()
+    core = cut_lineage(core.join(cell_node, [part] + fnames).select(part, *dims, "pid", "node", *fnames, *snames))
     nodes = cell_node.select(F.struct(part, "node").alias("node"))
 
     # 4a. certain edges: two core sub-cells whose farthest corners are within eps
@@ -155,14 +165,14 @@ def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str,
                   .where(F.col("ra") != F.col("rb"))
                   .select(F.struct(F.col(part), F.col("ra").alias("node")).alias("src"),
                           F.struct(F.col(part), F.col("rb").alias("node")).alias("dst")).distinct())
-    tested = tested.persist()
-    if tested.limit(1).count() == 0:
+    tested = cut_lineage(tested)
+    if tested.isEmpty():
         comp = comp1
     else:
         roots = comp1.select(F.struct(part, F.col("root").alias("node")).alias("node")).distinct()
         comp2 = _components(roots, tested, part).select(part, F.col("node").alias("root"), F.col("root").alias("root2"))
         comp = comp1.join(comp2, [part, "root"]).select(part, "node", F.col("root2").alias("root"))
-    core_lab = core.join(comp, [part, "node"]).select(part, "pid", "root").persist()
+    core_lab = cut_lineage(core.join(comp, [part, "node"]).select(part, "pid", "root"))
 
     # 5. border points: smallest root among core neighbours
     border = (pairs.join(core_lab.select(part, F.col("pid").alias("nb"), "root"), [part, "nb"])
@@ -182,11 +192,11 @@ def cluster_numbers(labels: DataFrame, part: str) -> DataFrame:
     """
     clusters = labels.where(F.col("root").isNotNull()).select(part, "root").distinct()
     ranked, groups = rank_within(clusters, part, ["root"], out="cluster_local_id")
-    # one row per partition value (year): bounded, so broadcast and a plain window are fine
+    # one row per partition value; Spark's size threshold decides on the join
     from pyspark.sql import Window
     w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offs = groups.select(part, F.coalesce(F.sum("_count").over(w), F.lit(0)).alias("_off"))
-    return (ranked.join(F.broadcast(offs), part)
+    return (ranked.join(offs, part)
                   .select(part, "root", F.col("cluster_local_id").cast("int").alias("cluster_local_id"),
                           (F.col("cluster_local_id") + F.col("_off")).cast("int").alias("cluster_id")))
 
@@ -195,10 +205,10 @@ def dbscan(points: DataFrame, eps: float = 500.0, min_samples: int = 10, key: st
            part: str = "cluster_year", dims: list[str] | None = None) -> DataFrame:
     """C1 + C2: the input rows plus ``cluster_local_id`` and ``cluster_id`` (-1 = noise/unclustered)."""
     dims = dims or ["E_lv95", "N_lv95"]
-    # freeze the (often long) input plan once: every clustering job below then
-    # starts from a flat table holding only the key, the partition and the coordinates
-    slim = cut_lineage(points.where(_valid(part, dims)).select(part, key, *dims))
-    labels = dbscan_positions(slim, eps, min_samples, key, part, dims)
+    # freeze the (often long) input plan once: clustering and the final join read the frozen rows
+    points = cut_lineage(points)
+    slim = points.where(_valid(part, dims, eps)).select(part, key, *dims)
+    labels = cut_lineage(dbscan_positions(slim, eps, min_samples, key, part, dims))
     nums = cluster_numbers(labels, part)
     lab = labels.join(nums, [part, "root"], "left").select(part, *dims, "cluster_local_id", "cluster_id")
     out = points.join(lab, [part] + dims, "left")

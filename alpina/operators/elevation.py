@@ -3,9 +3,10 @@
 point -> LV95 -> tile key -> header lookup (geotransform) -> pixel (px, py)
 -> equi-join on ``(tile_key, py)`` with ``dem_strip`` -> ``vals[px]``.
 Missing tile, out-of-bounds pixel, nodata or unparseable coordinates give
-null; values are rounded half-even to 3 decimals. The header table has one row
-per 1 km tile and is broadcast behind a row-count check; the strip join is a
-shuffle join that AQE splits when one strip is hot.
+null; values are rounded half-even to 3 decimals. Only strips that a point needs
+are joined (a semi-join on the distinct pairs), and points without a pixel pass
+by the strip join, so their null keys meet in no task. Spark's size threshold
+and AQE choose the join strategies.
 """
 
 from __future__ import annotations
@@ -15,11 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import column_type, to_double
 from ..functions.geo import pixel_index, tile_key, wgs84_to_lv95
-from .joins import bounded_broadcast
 from .quality import resolve_lon_lat
 
-MAX_BROADCAST_TILES = 2_000_000
-
 
 def with_tile_key(obs: DataFrame, lon: str | None = None, lat: str | None = None,
                   e_col: str = "_E", n_col: str = "_N", key_col: str = "_tk") -> DataFrame:
@@ -39,16 +37,20 @@ def enrich_elevation(obs: DataFrame, dem_tile: DataFrame, dem_strip: DataFrame,
     hdr = dem_tile.select(F.col("tile_key").alias("_tk"), F.col("x0").alias("_x0"), F.col("px_w").alias("_pw"),
                           F.col("y0").alias("_y0"), F.col("px_h").alias("_ph"), F.col("n_cols").alias("_nc"),
                           F.col("n_rows").alias("_nr"), F.col("nodata").alias("_nd"))
-    j = pts.join(bounded_broadcast(hdr, MAX_BROADCAST_TILES), "_tk", "left")
+    j = pts.join(hdr, "_tk", "left")
     px = pixel_index("_E", "_x0", "_pw")
     py = pixel_index("_N", "_y0", "_ph")
     inb = (px >= 0) & (px < F.col("_nc")) & (py >= 0) & (py < F.col("_nr"))
     j = j.withColumn("_px", F.when(inb, px)).withColumn("_py", F.when(inb, py))
+    inside = F.col("_py").isNotNull() & F.col("_tk").isNotNull()
+    hits, others = j.where(inside), j.where(~F.coalesce(inside, F.lit(False)))
     strips = dem_strip.select(F.col("tile_key").alias("_tk"), F.col("py").alias("_py"), F.col("vals").alias("_vals"))
-    j = j.join(strips, ["_tk", "_py"], "left")
-    v = F.try_element_at(F.col("_vals"), F.col("_px") + 1).cast("double")
-    elev = F.when(v.isNotNull() & (F.col("_nd").isNull() | (v != F.col("_nd"))), F.bround(v, 3))
-    j = j.withColumn(out, elev)
+    strips = strips.join(hits.select("_tk", "_py").distinct(), ["_tk", "_py"], "left_semi")
+    hits = hits.join(strips, ["_tk", "_py"], "left")
+    # strips hold floats: the nodata value is compared as one
+    v = F.try_element_at(F.col("_vals"), F.col("_px") + 1)
+    elev = F.when(v.isNotNull() & (F.col("_nd").isNull() | (v != F.col("_nd").cast("float"))), F.bround(v.cast("double"), 3))
+    j = hits.withColumn(out, elev).drop("_vals").unionByName(others.withColumn(out, F.lit(None).cast("double")))
     order = cols if out in cols else cols + [out]
     return j.select(*order)
 

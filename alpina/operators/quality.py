@@ -16,8 +16,9 @@ DEFAULT_ACCURACY_M = 100.0
 ACCURACY_COL = "positional_accuracy"
 ELEVATION_COL = "elevation_m"
 GRADE_COL = "quality_grade"
-# Accepted date layouts for ``observed_on``, ISO first.
-DATE_FORMATS = ["yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy"]
+# Accepted date parts of ``observed_on``: year first, else day or month first; a time of any layout may follow.
+YEAR_FIRST = r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2})(?:[T ].*)?$"
+YEAR_LAST = r"^(\d{1,2}/\d{1,2}/\d{4})(?: .*)?$"
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -67,15 +68,18 @@ def filter_grade(df: DataFrame, grades) -> DataFrame:
 def year_column(df: DataFrame, year_field: str = "year", date_field: str = "observed_on") -> Column:
     """The numeric year column, else the year of ``observed_on``; nullable int.
 
-    Non-integral years and unparseable dates give null (rows then stay out of
-    the clustering but are kept in the output).
+    The year is that of the date as written: an offset or zone behind it does
+    not move it. Non-integral years and unparseable dates give null (rows then
+    stay out of the clustering but are kept in the output).
     """
     if year_field in df.columns:
         return to_int_exact(F.col(year_field), column_type(df, year_field))
     if date_field in df.columns:
         s = F.trim(F.col(date_field).cast("string"))
-        ts = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in DATE_FORMATS])
-        return F.year(ts).cast("int")
+        first = F.replace(F.regexp_extract(s, YEAR_FIRST, 1), F.lit("/"), F.lit("-"))
+        last = F.regexp_extract(s, YEAR_LAST, 1)
+        tries = [(first, "yyyy-M-d"), (last, "d/M/yyyy"), (last, "M/d/yyyy")]
+        return F.year(F.coalesce(*[F.try_to_timestamp(F.nullif(c, F.lit("")), F.lit(f)) for c, f in tries])).cast("int")
     raise ValueError(f"cannot derive the year: no '{year_field}' and no '{date_field}' column")
 
 

@@ -35,10 +35,11 @@ def global_rank(df: DataFrame, order_cols: list[str], out: str = "rank0",
 def rank_within(df: DataFrame, group_col: str, order_cols: list[str], out: str = "rank0") -> tuple[DataFrame, DataFrame]:
     """0-based rank inside ``group_col`` plus the per-group ``(group, _start, _count)`` table.
 
-    The group table has one row per group value (e.g. per year).
+    The group table has one row per group value (e.g. per year); its size is not
+    bounded here, so Spark's threshold decides whether it is broadcast.
     """
     g = global_rank(df, [group_col] + order_cols, out="_g")
     starts = g.groupBy(group_col).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_count"))
-    ranked = g.join(F.broadcast(starts.select(group_col, "_start")), group_col) \
+    ranked = g.join(starts.select(group_col, "_start"), group_col) \
               .withColumn(out, F.col("_g") - F.col("_start")).drop("_g", "_start")
     return ranked, starts

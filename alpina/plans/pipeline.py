@@ -1,4 +1,4 @@
-"""The end-to-end ecosystem plan, composed from the operators.
+"""The end-to-end clustering plan, composed from the operators.
 
 observations -> accuracy filter -> taxa -> elevation -> year -> LV95 ->
 per-year DBSCAN -> (labelled rows, cluster summary, footprints, taxon counts).
@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.dbscan import cluster_summary, dbscan
@@ -19,42 +20,50 @@ from . import fixtures as fx
 
 
 @dataclass
-class EcosystemParams:
-    max_accuracy: float = 200.0
+class PipelineParams:
+    max_accuracy: float = 100.0
     eps: float = 500.0
-    min_samples: int = 3
+    min_samples: int = 10
     use_altitude: bool = False
     alt_scale: float = 1.0
 
 
+def with_altitude(df: DataFrame, alt_scale: float = 1.0, elev: str = "elevation_m") -> tuple[DataFrame, list[str]]:
+    """A4 + P8: the rows and the coordinates to cluster on.
+
+    Altitude, divided by ``alt_scale``, is a third coordinate only if every row
+    has one; otherwise clustering falls back to two.
+    """
+    flat = ["E_lv95", "N_lv95"]
+    missing = df.where(F.col(elev).isNull()).isEmpty() is False if elev in df.columns else True
+    if missing:
+        return df, flat
+    return df.withColumn("z", F.col(elev) / F.lit(float(alt_scale))), [*flat, "z"]
+
+
 def cluster_observations(obs: DataFrame, taxa: DataFrame, dem_tile: DataFrame, dem_strip: DataFrame,
-                         p: EcosystemParams) -> DataFrame:
+                         p: PipelineParams) -> DataFrame:
     """Labelled rows: the input columns plus taxa, elevation, year, LV95 and cluster ids."""
-    from pyspark.sql import functions as F
     x = quality.filter_position(obs, p.max_accuracy)
     x = enrich_taxa(x, taxa)
     x = enrich_elevation(x, dem_tile, dem_strip)
     x = quality.with_year(fx.projected(x))
     dims = ["E_lv95", "N_lv95"]
     if p.use_altitude:
-        # altitude is used only when every row has one (A4)
-        if x.where(F.col("elevation_m").isNull()).limit(1).count() > 0:
-            raise ValueError("elevation is missing on some rows; cluster in 2D or filter first")
-        x = x.withColumn("z", F.col("elevation_m") / F.lit(p.alt_scale))
-        dims = dims + ["z"]
+        x, dims = with_altitude(x, p.alt_scale)
     return dbscan(x, p.eps, p.min_samples, dims=dims)
 
 
-def flagship(spark: SparkSession, sf_dir: str, p: EcosystemParams | None = None) -> DataFrame:
+def flagship(spark: SparkSession, sf_dir: str, p: PipelineParams | None = None) -> DataFrame:
     """Taxon counts per (grade, year, cluster, label) for the clustered observations."""
-    p = p or EcosystemParams()
+    p = p or PipelineParams()
     tiles, strips = fx.dem_tables(spark, sf_dir)
     c = cluster_observations(fx.observations(spark, sf_dir), fx.taxa_cache(spark, sf_dir), tiles, strips, p)
     return taxon_counts(c)
 
 
-def flagship_outputs(spark: SparkSession, sf_dir: str, p: EcosystemParams | None = None) -> dict[str, DataFrame]:
-    p = p or EcosystemParams()
+def flagship_outputs(spark: SparkSession, sf_dir: str, p: PipelineParams | None = None) -> dict[str, DataFrame]:
+    p = p or PipelineParams()
     tiles, strips = fx.dem_tables(spark, sf_dir)
     c = cluster_observations(fx.observations(spark, sf_dir), fx.taxa_cache(spark, sf_dir), tiles, strips, p)
     return {"clustered": c, "summary": cluster_summary(c), "taxon_counts": taxon_counts(c)}

@@ -2,7 +2,8 @@
 equivalent DuckDB SQL used as the correctness oracle.
 
 Every query reads the driver's parquet tables (through the views of
-:mod:`alpina.plans.fixtures`) in full; no row caps, id subsets or prefixes.
+:mod:`alpina.plans.fixtures`) in full. The views drop rows by residue class
+only where absence is the feature: taxa not yet cached, tiles not there.
 Computed columns carry the same alias on both sides.
 """
 
@@ -37,13 +38,6 @@ GROUP_SQL = """CASE WHEN lower({c}) = 'plantae' THEN 'flora'
      WHEN lower({c}) IN ('mammalia','aves','reptilia','amphibia','actinopterygii','insecta','arachnida','mollusca') THEN 'fauna'
      WHEN coalesce(length({c}), 0) > 0 THEN 'other' ELSE 'unknown' END"""
 
-DATED_SQL = """
-dated AS (
-  SELECT obs.* EXCLUDE (year),
-         CASE WHEN o.o_orderkey % 3 = 0 THEN strftime(o.o_orderdate, '%d/%m/%Y')
-              ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS observed_on
-  FROM obs JOIN orders o ON o.o_orderkey = obs.observation_uuid)"""
-
 
 # --- filters, projections (F1-F3, P4, P6, P7) --------------------------------------
 
@@ -74,14 +68,11 @@ def q_tile_key(spark, sf):
     return p.select("observation_uuid", tile_key_col("E_lv95", "N_lv95").alias("tile_key"))
 
 
-@register("extract_year", "WITH " + DATED_SQL.strip() + """
-SELECT observation_uuid,
-       CAST(year(coalesce(try_strptime(observed_on, '%Y-%m-%d'), try_strptime(observed_on, '%d/%m/%Y'))) AS INT)
-         AS cluster_year
-FROM dated""", ("obs",))
+@register("extract_year", """
+SELECT o_orderkey AS observation_uuid, CAST(year(o_orderdate) AS INT) AS cluster_year FROM orders""")
 def q_extract_year(spark, sf):
-    d = fx.observations_dated(spark, sf)
-    return quality.with_year(d).select("observation_uuid", "cluster_year")
+    # the texts carry offsets and times of day; the year must be that of the date as written
+    return quality.with_year(fx.observations(spark, sf, dated=True)).select("observation_uuid", "cluster_year")
 
 
 # --- taxa (J1, P10, J8, W2, K2) -------------------------------------------------
@@ -112,12 +103,18 @@ def q_taxa_missing(spark, sf):
     return taxa_ops.missing_taxa(fx.observations(spark, sf), fx.taxa_cache(spark, sf))
 
 
+@register("taxa_cached", "SELECT * FROM taxa WHERE taxon_id IN (SELECT taxon_id FROM obs)", ("obs", "taxa"))
+def q_taxa_cached(spark, sf):
+    return taxa_ops.cached_taxa_for(fx.observations(spark, sf), fx.taxa_cache(spark, sf))
+
+
 @register("taxa_batches", """
-SELECT taxon_id, CAST((rn - 1) // 20 AS BIGINT) AS batch_no, CAST((rn - 1) % 20 AS INT) AS pos_in_batch
+SELECT taxon_id, CAST((rn - 1) // 300 * 2 + ((rn - 1) % 300) // 200 AS BIGINT) AS batch_no,
+       CAST(((rn - 1) % 300) % 200 AS INT) AS pos_in_batch
 FROM (SELECT taxon_id, row_number() OVER (ORDER BY taxon_id) AS rn
       FROM (SELECT DISTINCT taxon_id FROM obs WHERE taxon_id IS NOT NULL) d) q""", ("obs",))
 def q_taxa_batches(spark, sf):
-    return taxa_ops.request_batches(taxa_ops.distinct_taxon_ids(fx.observations(spark, sf)), 20)
+    return taxa_ops.request_batches(taxa_ops.required_taxon_ids(fx.observations(spark, sf)), 300)
 
 
 @register("taxa_upsert", """
@@ -126,7 +123,7 @@ WITH fresh AS (
          CASE p_partkey % 4 WHEN 0 THEN 'Plantae' WHEN 1 THEN 'Aves' WHEN 2 THEN 'Reptilia'
               ELSE 'Chromista' END AS iconic_taxon_name,
          upper(p_name) AS common_name
-  FROM part WHERE p_partkey >= 85 AND p_partkey < 100)
+  FROM part WHERE p_partkey % 7 IN (3, 4) AND p_partkey % 50 <> 0)
 SELECT * FROM fresh
 UNION ALL
 SELECT * FROM taxa WHERE taxon_id NOT IN (SELECT taxon_id FROM fresh)""", ("taxa",))
@@ -156,7 +153,7 @@ def q_filter_elevation(spark, sf):
 
 @register("elevation_coverage", """
 SELECT k.tile_key, count(*) AS n_points, (d.tile_key IS NOT NULL) AS has_tile
-FROM (SELECT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS tile_key FROM keyed) k
+FROM (SELECT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS tile_key FROM keyed WHERE te IS NOT NULL) k
 LEFT JOIN (SELECT DISTINCT tile_key FROM dem_pixel) d ON d.tile_key = k.tile_key
 GROUP BY k.tile_key, d.tile_key""", ("keyed", "dem_pixel"))
 def q_elevation_coverage(spark, sf):
@@ -168,7 +165,7 @@ def q_elevation_coverage(spark, sf):
 # --- tiles (A2, J6, J7) ----------------------------------------------------------
 
 @register("tiles_needed",
-          "SELECT DISTINCT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS tile_key FROM keyed", ("keyed",))
+          "SELECT DISTINCT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS tile_key FROM keyed WHERE te IS NOT NULL", ("keyed",))
 def q_tiles_needed(spark, sf):
     from ..operators.tiles import tiles_needed
     return tiles_needed(fx.observations(spark, sf))
@@ -176,7 +173,7 @@ def q_tiles_needed(spark, sf):
 
 @register("tile_urls_needed", """
 SELECT u.pos, u.url FROM urls u
-WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS k FROM keyed) n
+WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT CAST(te AS VARCHAR) || '-' || CAST(tn AS VARCHAR) AS k FROM keyed WHERE te IS NOT NULL) n
               WHERE contains(regexp_extract(u.url, '[^/]*$'), '_' || n.k || '_'))""", ("urls",))
 def q_tile_urls_needed(spark, sf):
     from ..operators.tiles import tiles_needed, urls_needed
@@ -288,13 +285,13 @@ FROM proj a JOIN proj b ON a.year = b.year
 GROUP BY a.observation_uuid""", ("proj",))
 def q_eps_neighbours(spark, sf):
     from ..operators.neighbours import neighbour_counts
-    p = fx.projected(fx.observations(spark, sf)).where(F.col("year").isNotNull())
+    p = fx.projected(fx.observations(spark, sf)).where(F.col("year").isNotNull() & F.col("E_lv95").isNotNull())
     return neighbour_counts(p, EPS, "observation_uuid", "year", ["E_lv95", "N_lv95"]) \
         .select("observation_uuid", "n_neighbours")
 
 
 @register("dbscan_2d", dbscan_sql(
-    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL",
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL AND E_lv95 IS NOT NULL",
     "SELECT observation_uuid, year AS cluster_year FROM proj", EPS, MIN_SAMPLES, False), ("proj",))
 def q_dbscan_2d(spark, sf):
     return _clustered_2d(spark, sf).select("observation_uuid", "cluster_year", "cluster_local_id", "cluster_id")
@@ -332,7 +329,7 @@ LABEL_SQL = """coalesce(nullif(common_name, ''), nullif(iconic_taxon_name, ''),
 GRADE_SQL = "CASE WHEN lower(quality_grade) IN ('casual', 'research', 'needs_id') THEN lower(quality_grade) END"
 
 CLUSTERED_TAXA_SQL = dbscan_sql(
-    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL",
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL AND E_lv95 IS NOT NULL",
     f"""SELECT o.observation_uuid, o.year AS cluster_year, o.quality_grade, o.E_lv95, o.N_lv95,
                t.iconic_taxon_name, t.common_name, {GROUP_SQL.format(c='t.iconic_taxon_name')} AS "group"
         FROM proj o LEFT JOIN taxa t ON o.taxon_id = t.taxon_id""", EPS, MIN_SAMPLES, False)
@@ -515,7 +512,61 @@ def q_footprint_geojson_wgs84(spark, sf):
 
 # --- dataset catalog (N1-N4, N6-N8, K6) ----------------------------------------------------
 
-@register("parse_tags")
+SEL_TAGS_SQL = """
+WITH s AS (SELECT path, list_filter(string_split(lower(regexp_extract(regexp_extract(path, '[^/]*$'),
+                   '^(.+?)(\\.[^.]*)?$', 1)), '_'), lambda x: x <> '') AS parts FROM catalog),
+a AS (SELECT *, list_position(parts, 'filtered') AS fi, list_position(parts, 'enriched') AS ei0 FROM s),
+b AS (SELECT *, CASE WHEN fi IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(parts, fi + 1, len(parts)) END AS af
+      FROM a),
+c AS (SELECT *, list_position(af, 'enriched') AS ei FROM b),
+t AS (SELECT path, parts,
+        CASE WHEN fi IS NULL THEN CAST([] AS VARCHAR[]) WHEN ei IS NULL THEN af ELSE list_slice(af, 1, ei - 1) END AS f,
+        CASE WHEN fi IS NOT NULL THEN (CASE WHEN ei IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(af, ei + 1, len(af)) END)
+             WHEN ei0 IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(parts, ei0 + 1, len(parts)) END AS e
+      FROM c)"""
+
+
+# the same split on the tokens as written (file names are abbreviated with their case)
+CASED_TAGS_SQL = SEL_TAGS_SQL.replace("string_split(lower(", "string_split((")
+
+# every token with its section: that of the last marker up to it
+SECTIONS_SQL = """
+sec AS (SELECT path, i, tk, m, coalesce(last_value(m IGNORE NULLS) OVER (
+                 PARTITION BY path ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'p') AS mode
+        FROM (SELECT path, i, parts[i] AS tk, CASE lower(parts[i]) WHEN 'filtered' THEN 'f' WHEN 'enriched' THEN 'e' END AS m
+              FROM (SELECT path, parts, unnest(range(1, len(parts) + 1)) AS i
+                    FROM (SELECT path, list_filter(string_split(regexp_extract(regexp_extract(path, '[^/]*$'),
+                                 '^(.+?)(\\.[^.]*)?$', 1), '_'), lambda x: x <> '') AS parts FROM catalog)))),
+tags AS (SELECT path, coalesce(list(tk ORDER BY i) FILTER (mode = 'p'), []) AS prefix,
+                coalesce(list(lower(tk) ORDER BY i) FILTER (mode = 'f' AND m IS NULL), []) AS fs,
+                coalesce(list(lower(tk) ORDER BY i) FILTER (mode = 'e' AND m IS NULL), []) AS es
+         FROM sec GROUP BY path)"""
+
+
+def _once(tags: str) -> str:
+    return f"list_filter({tags}, lambda x, i: list_position({tags}, x) = i)"
+
+
+def _section_text(marker: str, tags: str) -> str:
+    return f"CASE WHEN len({tags}) > 0 THEN '_{marker}_' || array_to_string({tags}, '_') ELSE '' END"
+
+
+def _expanded(tags: str, names: dict) -> str:
+    from ..functions.tags import NO_TAG_LABEL
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items())
+    return f"CASE WHEN len({tags}) > 0 THEN array_to_string(list_transform({tags}, lambda x: CASE x {whens} ELSE x END), ', ') ELSE '{NO_TAG_LABEL}' END"
+
+
+ABBREVIATED_SQL = CASED_TAGS_SQL + f""",
+ini AS (SELECT path, parts, list_transform(f, lambda x: lower(x[1])) AS fi, list_transform(e, lambda x: lower(x[1])) AS ei FROM t),
+abbr AS (SELECT path, fi, ei, 'clusters-run/' || parts[1] || '_clusters' || {_section_text('filtered', 'fi')}
+                || {_section_text('enriched', 'ei')} || '.csv' AS entry FROM ini)"""
+
+
+@register("parse_tags", SEL_TAGS_SQL + "," + SECTIONS_SQL + """
+SELECT t.path, array_to_string(f, ',') AS sel_filters, array_to_string(e, ',') AS sel_enrichments,
+       array_to_string(prefix, ',') AS prefix, array_to_string(fs, ',') AS filters, array_to_string(es, ',') AS enrichments
+FROM t JOIN tags USING (path)""", ("catalog",))
 def q_parse_tags(spark, sf):
     from ..operators.catalog import with_tags
     t = with_tags(fx.dataset_catalog(spark, sf))
@@ -523,7 +574,14 @@ def q_parse_tags(spark, sf):
                               ("sel_filters", "sel_enrichments", "prefix", "filters", "enrichments")])
 
 
-@register("name_dataset")
+@register("name_dataset", "WITH " + SECTIONS_SQL.strip() + f""",
+n AS (SELECT path, array_to_string(prefix, '_') AS p, {_once("list_concat(fs, ['grade', 'needs_id'])")} AS f2,
+             {_once("es")} AS e1, {_once("list_concat(es, ['taxa'])")} AS e2, regexp_extract(path, '[.][^.]*$') AS ext FROM tags),
+-- the first name is read again for the second: its tags are split anew
+r AS (SELECT *, string_split(array_to_string(f2, '_'), '_') AS fr FROM n),
+o AS (SELECT *, {_once("fr")} AS f3 FROM r)
+SELECT path, 'processed/' || p || {_section_text('filtered', 'f2')} || {_section_text('enriched', 'e1')} || ext AS filtered_name,
+       'processed/' || p || {_section_text('filtered', 'f3')} || {_section_text('enriched', 'e2')} || ext AS enriched_name FROM o""", ("catalog",))
 def q_name_dataset(spark, sf):
     from ..functions.tags import name_with_tags
     c = fx.dataset_catalog(spark, sf)
@@ -531,14 +589,27 @@ def q_name_dataset(spark, sf):
     return step.withColumn("enriched_name", name_with_tags("filtered_name", "enriched", ["taxa"]))
 
 
-@register("best_dataset")
+BEST_SQL = SEL_TAGS_SQL + """
+SELECT path, CAST(len(f) AS INT) AS n_filters, CAST(len(e) AS INT) AS n_enrichments FROM t
+WHERE path LIKE '%.csv' AND list_contains(f, 'position') AND NOT list_contains(e, 'elevation')
+ORDER BY n_filters DESC, n_enrichments DESC, path LIMIT 1"""
+
+
+@register("best_dataset", BEST_SQL, ("catalog",))
 def q_best_dataset(spark, sf):
     from ..operators.catalog import best_dataset
     return best_dataset(fx.dataset_catalog(spark, sf), include_filter=["position"], exclude_enrich=["elevation"],
                         raw_default="observations_swiss.csv")
 
 
-@register("cluster_label")
+def _label_sql() -> str:
+    from ..functions.tags import ENRICH_ABBR, FILTER_ABBR
+    return ABBREVIATED_SQL + f"""
+SELECT path, entry AS clusters_file, 'clusters-run | Filtres: ' || {_expanded('fi', FILTER_ABBR)}
+       || ' | Enrichissements: ' || {_expanded('ei', ENRICH_ABBR)} AS label FROM abbr"""
+
+
+@register("cluster_label", _label_sql(), ("catalog",))
 def q_cluster_label(spark, sf):
     from ..functions.tags import abbreviated_name, decode_abbreviated, human_label
     c = fx.dataset_catalog(spark, sf).withColumn(
@@ -547,7 +618,11 @@ def q_cluster_label(spark, sf):
     return c.select("path", "clusters_file", human_label(d).alias("label"))
 
 
-@register("manifest_append")
+@register("manifest_append", ABBREVIATED_SQL + """,
+m AS (SELECT row_number() OVER (ORDER BY entry) - 1 AS pos, entry FROM (SELECT DISTINCT entry FROM abbr))
+SELECT * FROM m UNION ALL
+SELECT (SELECT coalesce(max(pos) + 1, 0) FROM m), 'clusters-new/obs_clusters_filtered_p.csv'
+WHERE 'clusters-new/obs_clusters_filtered_p.csv' NOT IN (SELECT entry FROM m)""", ("catalog",))
 def q_manifest_append(spark, sf):
     from ..functions.tags import abbreviated_name
     from ..operators.ranking import global_rank
@@ -558,20 +633,6 @@ def q_manifest_append(spark, sf):
     return manifest_append(manifest, "clusters-new\\obs_clusters_filtered_p.csv")
 
 
-SEL_TAGS_SQL = """
-WITH s AS (SELECT path, list_filter(string_split(lower(regexp_extract(regexp_extract(path, '[^/]*$'),
-                   '^(.+?)(\\.[^.]*)?$', 1)), '_'), lambda x: x <> '') AS parts FROM catalog),
-a AS (SELECT *, list_position(parts, 'filtered') AS fi, list_position(parts, 'enriched') AS ei0 FROM s),
-b AS (SELECT *, CASE WHEN fi IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(parts, fi + 1, len(parts)) END AS af
-      FROM a),
-c AS (SELECT *, list_position(af, 'enriched') AS ei FROM b),
-t AS (SELECT path,
-        CASE WHEN fi IS NULL THEN CAST([] AS VARCHAR[]) WHEN ei IS NULL THEN af ELSE list_slice(af, 1, ei - 1) END AS f,
-        CASE WHEN fi IS NOT NULL THEN (CASE WHEN ei IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(af, ei + 1, len(af)) END)
-             WHEN ei0 IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_slice(parts, ei0 + 1, len(parts)) END AS e
-      FROM c)"""
-
-
 @register("selection_tags", SEL_TAGS_SQL + """
 SELECT path, array_to_string(f, ',') AS sel_filters, array_to_string(e, ',') AS sel_enrichments FROM t""",
           ("catalog",))
@@ -582,10 +643,7 @@ def q_selection_tags(spark, sf):
         "path", F.array_join(f, ",").alias("sel_filters"), F.array_join(e, ",").alias("sel_enrichments"))
 
 
-@register("best_dataset_position", SEL_TAGS_SQL + """
-SELECT path, CAST(len(f) AS INT) AS n_filters, CAST(len(e) AS INT) AS n_enrichments FROM t
-WHERE path LIKE '%.csv' AND list_contains(f, 'position') AND NOT list_contains(e, 'elevation')
-ORDER BY n_filters DESC, n_enrichments DESC, path LIMIT 1""", ("catalog",))
+@register("best_dataset_position", BEST_SQL, ("catalog",))
 def q_best_dataset_position(spark, sf):
     from ..operators.catalog import best_dataset
     return best_dataset(fx.dataset_catalog(spark, sf), include_filter=["position"], exclude_enrich=["elevation"])
@@ -597,7 +655,12 @@ def q_row_counts(spark, sf):
     return quality.row_counts(quality.with_year(fx.observations(spark, sf)))
 
 
-@register("combined_name")
+@register("combined_name", "WITH " + SECTIONS_SQL.strip() + f""",
+g AS (SELECT regexp_extract(path, '([0-9]{{4}})', 1) AS y, first(p ORDER BY path) FILTER (p <> '') AS p,
+             flatten(list(fs ORDER BY path)) AS f, flatten(list(es ORDER BY path)) AS e
+      FROM (SELECT *, array_to_string(prefix, '_') AS p FROM tags) GROUP BY y),
+n AS (SELECT y, coalesce(p, 'combined') AS p, {_once('f')} AS f, {_once('e')} AS e FROM g)
+SELECT y, p || {_section_text('filtered', 'f')} || {_section_text('enriched', 'e')} || '.csv' AS combined_name FROM n""", ("catalog",))
 def q_combined_name(spark, sf):
     from ..functions.tags import combined_name
     c = fx.dataset_catalog(spark, sf).withColumn("y", F.regexp_extract("path", r"(\d{4})", 1))
