@@ -3,8 +3,8 @@
 ``build_index`` stores a posting (term, document key, position) for each token
 of the training texts whose term a test set holds - no other posting can be
 looked up. The index is document-partitioned: postings stay with the input
-split they come from, sorted by term, so building it shuffles nothing and a
-hot term is spread over all splits.
+split they come from, a term's together, so building it shuffles nothing and a
+hot term is spread over all splits. The same pass stores each text's length.
 
 ``exact_matches`` orders the terms of each test phrase by their frequency in
 the index. Postings of the rarest term, moved back by the term's offset, give
@@ -13,7 +13,8 @@ second rarest term, and what is left with those of all other terms. A start at
 which every term of the phrase stands is an exact occurrence.
 ``proximity_matches`` does the same with a slack in positions.
 
-The test set's terms and phrases go to the tasks only if their stored size is
+The test set's terms and phrases, and the keys of the documents with a
+candidate, go to the tasks only if their stored size is
 below ``MAX_BROADCAST`` bytes; larger ones are joined by shuffling on (term,
 salt), where a term's postings are dealt over ``SALTS`` parts.
 
@@ -38,8 +39,8 @@ SALTS = 32
 
 
 def document_key(doc_id: Column, text: Column) -> Column:
-    """128 bits that tell documents apart: two hashes of id and text."""
-    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit(1), text, doc_id).alias("b"))
+    """What tells documents apart: the id and a 64-bit hash of the text."""
+    return F.struct(doc_id.alias("doc_id"), F.xxhash64(text).alias("h"))
 
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -53,7 +54,7 @@ def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Postings ``term, key, pos`` of the terms that a test set holds, and ``doc_id, key, n_words`` of every document."""
+    """Postings ``term, key, pos`` of the terms that a test set holds, and ``key, n_words`` of every document."""
 
     postings: DataFrame
     documents: DataFrame
@@ -73,13 +74,15 @@ def _with_terms(postings: DataFrame, side: DataFrame, small: bool, how: str = "i
 
 def build_index(docs: DataFrame, terms: DataFrame) -> Index:
     """Store the postings of ``docs`` for the given ``term`` rows."""
-    text = text_or_empty("text")
-    d = docs.select("doc_id", document_key(F.col("doc_id"), text).alias("key"), words("text").alias("w"))
-    documents = store(d.select("doc_id", "key", F.size("w").cast("long").alias("n_words")), "index-documents")
-    terms = store(terms.distinct(), "index-terms")
-    tokens = d.select("key", F.posexplode("w").alias("pos", "term"))
+    d = docs.select(document_key(F.col("doc_id"), text_or_empty("text")).alias("key"), words("text").alias("w"))
+    # one more token after the last: the empty term, whose position is the number of words
+    tokens = d.select("key", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "term"))
+    terms = store(terms.distinct().unionByName(docs.sparkSession.createDataFrame([("",)], "term string")), "index-terms")
     held = _with_terms(tokens, terms, _small(terms, F.octet_length("term") + 16), "left_semi")
-    return Index(store(held.select("term", "key", "pos").sortWithinPartitions("term", "key", "pos"), "index-postings"), documents)
+    # a single long key: Spark sorts it by radix, and equal terms stay in document order
+    held = store(held.select("term", "key", "pos").sortWithinPartitions(F.xxhash64("term")), "index-postings")
+    ends = held.where(F.col("term") == "")
+    return Index(held.where(F.col("term") != ""), ends.select("key", F.col("pos").cast("long").alias("n_words")))
 
 
 def phrase_terms(index: Index, phrase_table: DataFrame) -> DataFrame:
@@ -107,7 +110,9 @@ def exact_matches(index: Index, phrase_table: DataFrame) -> DataFrame:
     # the other terms: look up the postings of the candidates' own documents and positions
     asked = two.join(F.broadcast(terms.where("order >= 2").drop("n")) if small else terms.where("order >= 2").drop("n"), "phrase")
     asked = asked.select(*spot, "term", (F.col("start") + F.col("offset")).alias("pos"))
-    held = index.postings.join(two.select("key").distinct(), "key", "left_semi")
+    found = store(two.select("key").distinct(), "index-found")
+    found = F.broadcast(found) if _small(found, F.lit(32)) else found
+    held = index.postings.join(found, "key", "left_semi")
     rest = asked.join(held, ["key", "term", "pos"], "left_semi").groupBy(*spot).agg(F.count(F.lit(1)).alias("found"))
     return two.where("n <= 2").unionByName(rest.where("found = n - 2").select(*spot))
 
@@ -145,7 +150,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     of_items = of_items.select("key", F.explode("items").alias("item")).groupBy("key").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
     per_doc = hit.join(of_items, "key")
     out = index.documents.join(per_doc, "key", "left")
-    return out.select("key", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return out.select("key", F.col("key.doc_id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                       F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                       F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
                       (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
