@@ -106,6 +106,7 @@ def test_nodata_is_compared_as_float_and_newest_vintage_wins(spark):
     from alpina.functions.geo import with_wgs84
     at = spark.createDataFrame([(i, 2600050.0 + 100 * i, 1200050.0) for i in range(3)] + [(9, 2600050.0, 1300000.0)], "id int, e double, n double")
     obs = with_wgs84(at, "e", "n").select("id", F.col("lon_wgs84").alias("lon"), F.col("lat_wgs84").alias("lat"))
+    obs = spark.createDataFrame([tuple(r) for r in obs.collect()], "id int, lon double, lat double")
     bad = spark.createDataFrame([(10, None, 46.0), (11, float("nan"), 46.0)], "id int, lon double, lat double")
     got = {r.id: r.elevation_m for r in enrich_elevation(obs.unionByName(bad), tiles, strips).collect()}
     assert got == {0: None, 1: 4.0, 2: None, 9: None, 10: None, 11: None}
