@@ -102,11 +102,12 @@ def exact_matches(index: Index, phrase_table: DataFrame) -> DataFrame:
 
     def moved(order: Column) -> DataFrame:
         at = _with_terms(index.postings, terms.where(order), small)
-        return at.select("key", "phrase", (F.col("pos") - F.col("offset")).alias("start"), "n").where("start >= 0")
+        return at.select("key", "phrase", (F.col("pos") - F.col("offset")).alias("start"), "n", "order").where("start >= 0")
 
     spot = ["key", "phrase", "start", "n"]
-    two = moved(F.col("order") < 2).groupBy(*spot).agg(F.count(F.lit(1)).alias("found"))
-    two = store(two.where(F.col("found") == F.least(F.lit(2), F.col("n"))).select(*spot), "index-candidates")
+    # repeated rows have their postings twice: a list either has the place or not
+    two = moved(F.col("order") < 2).groupBy(*spot).agg(F.bit_or(F.col("order") + 1).alias("lists"))
+    two = store(two.where(F.col("lists") == F.when(F.col("n") > 1, 3).otherwise(1)).select(*spot), "index-candidates")
     # the other terms: look up the postings of the candidates' own documents and positions
     asked = two.join(F.broadcast(terms.where("order >= 2").drop("n")) if small else terms.where("order >= 2").drop("n"), "phrase")
     asked = asked.select(*spot, "term", (F.col("start") + F.col("offset")).alias("pos"))
