@@ -1,8 +1,8 @@
 """Quality scores by a factorisation machine of second order.
 
 Features of a document: its hashed words (``WORD_SCALE``/sqrt(distinct words)
-times the damped count), structure statistics in bins, and the metadata ``n_chars``
-in bins where the table has it. The score is
+times the damped count), structure statistics in bins, and the length of the
+text (the table's ``n_chars``, counted anew so that it is never null) in bins. The score is
 ``w0 + sum w_i x_i + 1/2 sum_f [(sum v_if x_i)^2 - sum (v_if x_i)^2]``
 through a logistic function: linear time in the number of features by the
 sum-of-squares identity.
