@@ -21,7 +21,7 @@ are counted over distinct lines, so copies add weight and no rows.
 
 Defined results: a null or empty text has one empty line and stays as it is
 (null stays null); blank lines are kept; a document is (``doc_id``, text hash),
-and repeated rows are separate documents with one result; empty tables give an
+and repeated rows count as one and have one result; empty tables give an
 empty result. Lines end at ``\\n`` only; texts and lines of any length are
 processed whole.
 """
@@ -37,15 +37,15 @@ DEPTH = 2
 MIN_DOCS = 10
 MIN_TOKENS = 4
 SIMILARITY = 0.6
-#: fixed values: white space inside a line, and a token that holds a digit (tried at token starts only, so linear in the text)
-_INNER = r"[\x20\x09\x0B-\x0D]+"
+#: fixed values: white space inside a line that is no single space, and a token that holds a digit (tried at token starts only, so linear in the text)
+_INNER = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def masked_lines(text: Column) -> Column:
     """Array of a text's lines: variable fields masked, white space single and trimmed."""
-    masked = F.regexp_replace(F.regexp_replace(text, _FIELD, "<*>"), _INNER, " ")
-    return F.transform(F.split(masked, "\n"), lambda x: F.trim(x))
+    masked = lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, _FIELD, "<*>")).otherwise(x)
+    return F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(masked(x), _INNER, " ")))
 
 
 def _described(line: Column) -> list[Column]:
@@ -59,17 +59,23 @@ def _row_key(row: str = "row") -> list[Column]:
     return [F.xxhash64(f"{row}.doc_id", text).alias("k1"), F.xxhash64(F.lit(1), text, f"{row}.doc_id").alias("k2")]
 
 
-def recurring_templates(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
+def line_table(rows: DataFrame) -> DataFrame:
+    """Stored ``k1, k2, no, n, leaf, h1, h2`` of every line, in one pass over the texts; no text is stored."""
+    lines = rows.select("k1", "k2", F.posexplode(masked_lines(text_or_empty(F.col("row.text")))).alias("no", "line"))
+    return store(lines.select("k1", "k2", "no", *_described(F.col("line"))), "line-table")
+
+
+def recurring_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
     """``h1, h2`` of every masked line that recurs, as itself or under a general template."""
-    once = docs.select(F.explode(F.array_distinct(masked_lines(text_or_empty("text")))).alias("line"))
-    once = once.select("line", *_described(F.col("line"))).where(F.col("n") >= min_tokens)
+    once = lines.where(F.col("n") >= min_tokens).select("k1", "k2", "h1", "h2", "leaf", "n").distinct()
     counted = store(once.groupBy("h1", "h2", "leaf", "n").agg(F.count(F.lit(1)).alias("docs")), "line-templates")
     exact = counted.where(F.col("docs") >= min_docs).select("h1", "h2")
 
     leaves = counted.groupBy("leaf", "n").agg(F.sum("docs").alias("leaf_docs"), F.count(F.lit(1)).alias("templates"))
     leaves = store(leaves.where((F.col("leaf_docs") >= min_docs) & (F.col("templates") > 1)).select("leaf", "leaf_docs"), "line-leaves")
     # the texts of the distinct lines in those leaves, with their counts
-    open_lines = once.join(leaves, "leaf", "left_semi").groupBy("line", "leaf", "n", "h1", "h2").agg(F.count(F.lit(1)).alias("docs"))
+    texts = docs.select(F.explode(masked_lines(text_or_empty("text"))).alias("line")).select("line", *_described(F.col("line")))
+    open_lines = texts.join(leaves, "leaf", "left_semi").select("line", "h1", "h2").distinct().join(counted, ["h1", "h2"])
     open_lines = store(open_lines, "line-open")
     tokens = open_lines.select("leaf", "docs", F.posexplode(F.split("line", " ")).alias("pos", "token"))
     weight = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("docs")).join(leaves, "leaf")
@@ -88,10 +94,10 @@ def recurring_templates(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: i
 
 def drop_template_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
     """``row`` (the input row), ``text`` without its recurring lines, ``n_lines`` and ``n_dropped``."""
-    recurring = store(recurring_templates(docs, min_docs, min_tokens, similarity), "line-recurring")
     rows = packed(docs).select("row", *_row_key())
-    lines = rows.select("k1", "k2", F.posexplode(masked_lines(text_or_empty(F.col("row.text")))).alias("no", "line"))
-    found = lines.select("k1", "k2", "no", *_described(F.col("line"))).join(recurring, ["h1", "h2"], "left_semi")
+    lines = line_table(rows)
+    recurring = store(recurring_templates(docs, lines, min_docs, min_tokens, similarity), "line-recurring")
+    found = lines.select("k1", "k2", "no", "h1", "h2").join(recurring, ["h1", "h2"], "left_semi")
     dropped = found.groupBy("k1", "k2").agg(F.collect_set("no").alias("numbers"))
     dropped = store(dropped, "line-dropped")
     out = rows.join(dropped, ["k1", "k2"], "left")
