@@ -12,7 +12,8 @@
 
 Tokenising: white space never joins tokens in the vocabulary used, so a text is
 cut at ASCII white space and each distinct piece goes through the tokenizers
-library once per worker (pieces joined by a special token, cut again by its
+library once per worker: plain lower-cased words through its model, all other
+pieces through the whole tokenizer (joined by a special token, cut again by its
 id). The memo is emptied when it holds ``MEMO`` pieces.
 
 Defined results: a null or empty text is the end id alone; a null ``doc_id``
@@ -26,6 +27,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,44 +73,55 @@ class PieceTokenizer:
         return [ids[a:b].tobytes() for a, b in zip(starts, ends)]
 
     def _learn(self, pieces: set[str]):
-        if len(self.memo) + len(pieces) > self.limit:
-            self.memo.clear()
-        if len(self.cores) > self.limit:
-            self.cores.clear()
-        plain, odd = {}, []
+        cores, memo, tokenize, odd = self.cores, self.memo, self.library.model.tokenize, []
+        if len(cores) > 2 * self.limit:
+            cores.clear()
         for p in pieces:
-            core = p.rstrip(".,")
+            # a run of letters, or of full stops and commas, is one word of the model, spelt in its byte alphabet;
             # letters up to U+024F lower-case one by one and never join with a full stop or comma
-            if core.isalpha() and max(core) < "ɐ" and unicodedata.is_normalized("NFC", core):
-                plain[p] = (core.lower(), p[len(core):])
-            else:
+            core = p.rstrip(".,")
+            plain = core.isalpha() and (core.isascii() or max(core) < "ɐ" and len(core.lower()) == len(core) and unicodedata.is_normalized("NFC", core))
+            if not plain:
                 odd.append(p)
-        new = list({x for pair in plain.values() for x in pair if x and x not in self.cores})
-        for i in range(0, len(new), 1000):
-            self.cores.update(zip(new[i:i + 1000], self._library_ids(new[i:i + 1000])))
-        self.cores[""] = b""
-        for p, (core, tail) in plain.items():
-            self.memo[p] = self.cores[core] + self.cores[tail]
+                continue
+            found = b""
+            for x in (core.lower(), p[len(core):]) if len(core) < len(p) else (core.lower(),):
+                ids = cores.get(x)
+                if ids is None:
+                    spelt = x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_LETTERS)
+                    ids = cores[x] = array("I", [t.id for t in tokenize(spelt)]).tobytes()
+                found += ids
+            memo[p] = found
         joinable = [p for p in odd if not any(m in p for m in self.marks)]
         for i in range(0, len(joinable), 1000):
-            self.memo.update(zip(joinable[i:i + 1000], self._library_ids(joinable[i:i + 1000])))
+            memo.update(zip(joinable[i:i + 1000], self._library_ids(joinable[i:i + 1000])))
         for p in set(odd).difference(joinable):
-            self.memo[p] = np.array(self.library.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            memo[p] = np.array(self.library.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [t.translate(_BLANKS).split(" ") for t in texts]
-        new = {p for pieces in cut for p in pieces}.difference(self.memo)
+        cut = [_pieces(t) for t in texts]
+        new = set().union(*cut).difference(self.memo)
         if new:
             if len(self.memo) + len(new) > self.limit:
-                new = {p for pieces in cut for p in pieces}
+                self.memo.clear()
+                new = set().union(*cut)
             self._learn(new)
         get = self.memo.__getitem__
         return [b"".join(map(get, pieces)) for pieces in cut]
 
 
-#: fixed values: the ASCII white space at which a text is cut
-_BLANKS = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
+def _pieces(text: str) -> list[str]:
+    """A text cut at ASCII white space."""
+    for blank in "\t\n\v\f\r":
+        if blank in text:
+            text = text.replace(blank, " ")
+    return text.split(" ")
+
+
+#: fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 and up, in order
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 
 
 def worker_tokenizer(path: str) -> PieceTokenizer:
