@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_texts
-from .toxicity import MAX_CHARS, labelled_sample, remainder
+from .toxicity import labelled_sample, remainder
 
 WORDS = 1 << 16
 BINS = 16
 RANK = 8
 WORD_SCALE = 0.5
-MAX_EACH = 2000
+MAX_EACH, MAX_CHARS = 2000, 10_000
 MEMO = 400_000
 TOKENS = re.compile(r"[^\W_]+")
 #: fixed values: byte classes - 0 other ASCII symbols, 1 lower, 2 upper, 3 digit, 4 space, 5 line end, 6 sentence mark, 7 beyond ASCII

@@ -36,7 +36,7 @@ PREFIXES = (4, 5, 6, 7)
 #: a feature below this weight is kept only if this many training documents have it
 LEAST_WEIGHT, LEAST_DOCS = 0.05, 5
 LEAST_MARGINAL = 0.1
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 2000, 10_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 2000, 4000
 MEMO = 400_000
 SPAN = "array<struct<start: int, end: int, p: double>>"
 TOKENS = re.compile(r"[^\W_]+|[.!?\n]")
