@@ -19,7 +19,9 @@ below ``MAX_BROADCAST`` bytes; larger ones are joined by shuffling on (term,
 salt), where a term's postings are dealt over ``SALTS`` parts.
 
 Defined results: a null or empty text has no words and is never hit; an item
-without words has no window; words are compared after lower-casing A-Z;
+without words has no window; items with a null ``item_id`` hit like any other,
+count as one item together and have no name in the list of ids; words are
+compared after lower-casing A-Z;
 documents are told apart by (``doc_id``, text hash), so repeated rows share one
 result and a null ``doc_id`` is a document; empty tables give empty results.
 """
@@ -44,11 +46,14 @@ def document_key(doc_id: Column, text: Column) -> Column:
 
 
 def phrases(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``phrase, terms, items`` - every distinct window of the items' words and the items it stands in."""
+    """``phrase, terms, items`` - every distinct window of the items' words and the items it stands in.
+
+    Items are structs of the id: a set of bare ids would leave out a null one.
+    """
     w = items.select("item_id", words("text").alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
     each = w.select("item_id", "w", F.explode(starts).alias("s")).select("item_id", F.slice("w", F.col("s") + 1, F.lit(window)).alias("terms"))
-    return each.groupBy("terms").agg(F.collect_set("item_id").alias("items")).select(
+    return each.groupBy("terms").agg(F.collect_set(F.struct("item_id")).alias("items")).select(
         F.concat_ws(" ", "terms").alias("phrase"), "terms", "items")
 
 
@@ -148,11 +153,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     hit = found.select("key", "start", "n").distinct().groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("spans"))
     hit = hit.select("key", covered(F.col("spans")).alias("n_hit"))
     of_items = found.select("key", "phrase").distinct().join(table.select("phrase", "items"), "phrase")
-    of_items = of_items.select("key", F.explode("items").alias("item")).groupBy("key").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
-    per_doc = hit.join(of_items, "key")
+    of_items = of_items.select("key", F.explode("items").alias("item")).select("key", F.col("item.item_id").cast("string").alias("item"))
+    # a null id counts as an item and has no name in the list
+    of_items = of_items.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"), F.max(F.col("item").isNull().cast("int")).alias("unnamed"))
+    per_doc = hit.join(of_items, "key", "left")
     out = index.documents.join(per_doc, "key", "left")
     return out.select("key", F.col("key.doc_id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                      F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+                      F.coalesce(F.size("items") + F.col("unnamed"), F.lit(0)).cast("long").alias("n_items"),
                       F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
                       (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
 

@@ -68,3 +68,12 @@ def test_proximity(spark):
     near = {r.key.doc_id for r in P.proximity_matches(index, table, slack=1).collect()}
     exact = {r.key.doc_id for r in P.exact_matches(index, table).collect()}
     assert exact == {1, 2, 8} and near == {1, 2, 8, 9}
+
+
+def test_items_with_null_id_hit(spark):
+    docs = spark.createDataFrame([(1, "x quick brown fox y"), (2, "x lazy old dog y quick brown fox"), (3, "lazy old dog"), (4, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "quick brown fox"), (7, "lazy old dog"), (None, "lazy old dog")], "item_id long, text string")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    got = sorted(map(tuple, P.contamination(docs, items, 3).drop("key").collect()))
+    assert got == [(1, 5, 3, 1, sha(""), True), (2, 8, 6, 2, sha("7"), True), (3, 3, 3, 2, sha("7"), True), (4, 3, 0, 0, sha(""), False)]
+    assert [r.doc_id for r in P.clean_documents(docs, items, 3).collect()] == [4]
