@@ -16,8 +16,8 @@ batch run in step, word scores are kept in a bounded memo per worker.
 
 Defined results: a null or empty text has no tokens and scores like a text
 whose tokens are all clean; rows without a label train nothing; if there is no
-toxic label to learn from, every score is 0; repeated rows are scored
-separately; an empty table gives an empty result.
+toxic label to learn from, every score is 0; repeated rows train once and are
+scored separately; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -301,15 +301,20 @@ class Scorer:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, most: tuple[int, int], max_chars: int = MAX_CHARS) -> tuple[list[str], np.ndarray]:
     """At most ``most[0]`` positive and ``most[1]`` negative training documents, chosen by a hash of ``doc_id``.
 
-    Rows whose crc32(doc_id) mod ``divisor`` is ``held_out`` are never read.
+    Rows whose crc32(doc_id) mod ``divisor`` is ``held_out`` are never read. An id
+    is one document, however often it stands in either table: positive if any of
+    its label rows is, with the text of the smallest hash.
     """
     able = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), divisor) != held_out)).select("doc_id", F.col(label).cast("int").alias("y"))
-    short = docs.where(F.length("text").between(1, max_chars)).select("doc_id")
+    able = able.where(F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
+    short = docs.where(F.length("text").between(1, max_chars)).select("doc_id").distinct()
     able = able.join(short, "doc_id", "left_semi")
     by_hash = F.xxhash64("doc_id")
     chosen = able.where("y = 1").orderBy(by_hash).limit(most[0]).unionByName(able.where("y = 0").orderBy(by_hash).limit(most[1]))
     # at most most[0] + most[1] ids: a bound by parameter
     got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text").between(1, max_chars))
+    # and one row of each, reduced before the collect
+    got = got.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = sorted((r["doc_id"], r["text"], r["y"]) for r in got.collect())
     return [r[1] for r in rows], np.array([r[2] for r in rows], bool)
 

@@ -58,3 +58,12 @@ def test_query_edges(spark):
     unlabelled = T.toxicity(docs.limit(5), labels.limit(0)).collect()
     assert [r.score for r in unlabelled] == [0.0] * 5
     assert T.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_repeated_rows_are_one_training_document(spark):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(40)] + [(d, f"text {d}") for d in range(2, 10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 30 + [(d, d % 2) for d in range(2, 10)] + [(4, 1)], "doc_id long, toxic int")
+    texts, y = T.labelled_sample(docs, labels, "toxic", 4, 9, (6, 3))
+    assert texts[0].startswith("copy ") and texts[1:] == [f"text {d}" for d in range(2, 10)]
+    assert y.tolist() == [True, False, True, True, True, False, True, False, True]
+    assert len(T.labelled_sample(docs, labels, "toxic", 4, 9, (2, 2))[0]) == 4
