@@ -6,9 +6,10 @@
 2. Each tree is a sorted prefix trie: its labels (a path of ``DEPTH``
    MinHashes) are sorted, so texts that agree on a prefix of any length stand
    together, and the common prefix with the row before is enough to read every
-   level. Prefixes are shortened level by level until
+   level. One depth ``d`` serves all texts: the largest at which
    ``1 - (1 - t^d)^TREES`` - the chance that a pair at the threshold ``t``
    shares a prefix of length ``d`` in some tree - reaches the target recall.
+   Pairs that share none are lost; longer labels only order neighbours.
    Rows in one run at that depth are candidates; runs are kept as a chain of
    neighbours, never as pairs.
 3. Candidate classes of one connected group are verified exactly: a group is
