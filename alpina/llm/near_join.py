@@ -15,8 +15,8 @@
 3. Candidate classes of one connected group are verified exactly: a group is
    cut into blocks of ``BLOCK`` classes, and each pair of blocks is compared in
    one task by counting common shingles. A task returns a row per class - its
-   links and the class it hangs on - and no pairs, so a group of a third of all
-   rows costs blocks of work and no rows in proportion to its square.
+   links and the class it hangs on - and no pairs. Each class goes with its
+   shingles to every block of its group: ``N * ceil(N / BLOCK)`` rows for ``N``.
 4. Links and members are summed; classes joined by links form a near-duplicate
    group, named by its smallest ``doc_id``.
 
