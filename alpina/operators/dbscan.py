@@ -15,13 +15,16 @@ Plan:
      third of all rows becomes one row);
   2. fine cells of side eps/sqrt(d): every position in a cell holding
      ``>= min_samples`` rows is core without counting;
-  3. the remaining (sparse-cell) positions count neighbours through the grid
-     equi-join of :mod:`neighbours`;
+  3. the remaining (sparse-cell) positions sum the weight of the cells within
+     eps, down the levels of :mod:`box_pairs`, without making the pairs;
   4. core positions of one fine cell are mutually within eps, so the cell is a
-     single graph node; cell-to-cell edges come from core pairs across cells;
-  5. connected components (large/small star) give each node the smallest order
-     key of its component; border points take the minimum over core neighbours;
-  6. cluster numbers come from a distributed rank of ``(part, root)`` and a
+     single graph node with a flat id in spatial order; core sub-cells whose
+     farthest corners are within eps connect their cells without a point test;
+  5. what is then still in different components is compared box by box, and
+     point by point only on the facing rims (:func:`box_pairs.near_groups`);
+  6. border points take the smallest cluster of the core cells within eps, by
+     the same levels;
+  7. cluster numbers come from a distributed rank of ``(part, root)`` and a
      running offset over partitions - no single-task window.
 """
 
@@ -34,14 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .components import connected_components
-from .neighbours import neighbour_pairs
+from .box_pairs import near_aggregate, near_groups
+from .components import connected_components, long_components
 from .ranking import rank_within
 
 FINE_SLACK = 1.0 - 1e-9
 
 
 SUB_PER_FINE = 3
+#: fine cells per side of the blocks in whose order graph nodes are numbered
+BLOCK_CELLS = 64
 #: cell numbers stay exact below this; coordinates beyond it are not clustered
 MAX_CELL = float(2 ** 52)
 
@@ -58,18 +63,11 @@ def _valid(part: str, dims: list[str], eps: float):
 
 
 def _auto_offsets(d: int) -> list[tuple[int, ...]]:
-    """Sub-cell offsets whose farthest corners are within eps (side = eps / (K sqrt d))."""
+    """Sub-cell offsets whose farthest corners are within eps (side = eps / (K sqrt d)), one of each opposite two."""
     lim = SUB_PER_FINE * SUB_PER_FINE * d
     rng = range(-SUB_PER_FINE - 1, SUB_PER_FINE + 2)
     return [o for o in itertools.product(rng, repeat=d)
-            if any(o) and sum((abs(v) + 1) ** 2 for v in o) <= lim]
-
-
-def _fine_offsets(d: int, eps: float, fine: float) -> list[tuple[int, ...]]:
-    """Fine-cell offsets whose nearest corners may be within eps."""
-    r = int(math.ceil(eps / fine))
-    return [o for o in itertools.product(range(-r, r + 1), repeat=d)
-            if any(o) and sum(max(abs(v) - 1, 0) ** 2 for v in o) * (fine * (1 - 1e-6)) ** 2 <= eps * eps]
+            if o > (0,) * d and sum((abs(v) + 1) ** 2 for v in o) <= lim]
 
 
 def _offset_join(a: DataFrame, b: DataFrame, offsets, part: str, cells: list[str]) -> DataFrame:
@@ -84,21 +82,6 @@ def _offset_join(a: DataFrame, b: DataFrame, offsets, part: str, cells: list[str
     return A.join(B, cond).drop(*[f"_t{i}" for i in range(k)])
 
 
-def _edge_rows(pairs: DataFrame, part: str) -> DataFrame:
-    pk = F.col("a_" + part).alias(part)
-    return (pairs.where(F.col("a_node") != F.col("b_node"))
-                 .select(F.struct(pk, F.least("a_node", "b_node").alias("node")).alias("src"),
-                         F.struct(pk, F.greatest("a_node", "b_node").alias("node")).alias("dst"))
-                 .distinct())
-
-
-def _components(nodes: DataFrame, edges: DataFrame, part: str) -> DataFrame:
-    """``(part, node, root)`` from struct-keyed nodes/edges (ids unique per partition)."""
-    comp = connected_components(nodes, edges, node="node")
-    return comp.select(F.col("node." + part).alias(part), F.col("node.node").alias("node"),
-                       F.col("root.node").alias("root"))
-
-
 def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str, part: str,
                      dims: list[str]) -> DataFrame:
     """Labels per distinct position: ``(part, dims..., pid, w, is_core, root)``.
@@ -124,62 +107,43 @@ def dbscan_positions(points: DataFrame, eps: float, min_samples: int, key: str,
     pos = cut_lineage(pos.join(cellw, [part] + fnames))
 
     # 3. neighbour counts for positions of sparse cells only
-    sparse = pos.where(F.col("cw") < min_samples).select(part, *dims, "pid")
-    pairs = neighbour_pairs(sparse, pos.select(part, *dims, "pid", "w"), eps, dims, part) \
-        .select(F.col("a_" + part).alias(part), F.col("a_pid").alias("pid"), F.col("b_pid").alias("nb"),
-                F.col("b_w").alias("nw"))
-    pairs = cut_lineage(pairs)
-    counts = pairs.groupBy(part, "pid").agg(F.sum("nw").alias("n"))
-    pos = pos.join(counts, [part, "pid"], "left").withColumn(
+    sparse = pos.where(F.col("cw") < min_samples)
+    counts = near_aggregate(sparse, pos, eps, part, dims, "sum", out="n")
+    pos = pos.join(counts, [part, *dims], "left").withColumn(
         "is_core", (F.col("cw") >= min_samples) | (F.coalesce(F.col("n"), F.lit(0)) >= min_samples)).drop("n")
     pos = cut_lineage(pos)
 
-    # 4. one graph node per fine cell holding core positions
-    core = pos.where("is_core")
-    cell_node = core.groupBy(part, *fnames).agg(F.min("pid").alias("node"))
-    core = cut_lineage(core.join(cell_node, [part] + fnames).select(part, *dims, "pid", "node", *fnames, *snames))
-    nodes = cell_node.select(F.struct(part, "node").alias("node"))
+    # 4. one graph node per fine cell holding core positions, numbered block by block: neighbours get near numbers
+    core = pos.where("is_core").select(part, *dims, "pid", "w", *fnames, *snames)
+    blocks = [F.floor(F.col(f) / F.lit(BLOCK_CELLS)) for f in fnames]
+    cells = core.select(part, *fnames).distinct().repartitionByRange(part, *blocks, *fnames) \
+                .sortWithinPartitions(part, *blocks, *fnames).withColumn("cid", F.monotonically_increasing_id())
+    cells = cut_lineage(cells)
+    core = cut_lineage(core.join(cells, [part] + fnames))
 
     # 4a. certain edges: two core sub-cells whose farthest corners are within eps
     #     connect their cells with no point test (work ~ occupied sub-cells)
-    csub = core.select(part, *snames, "node").distinct()
+    csub = core.select(part, *snames, "cid").distinct()
     auto = _offset_join(csub, csub, _auto_offsets(d), part, snames)
-    auto_edges = _edge_rows(auto, part)
-    comp1 = _components(nodes, auto_edges, part)
-
-    # 4b. point tests only between neighbouring cells still in different components
-    cells = cell_node.join(comp1, [part, "node"]).select(part, *fnames, "node", "root")
-    cand = _offset_join(cells, cells, _fine_offsets(d, eps, fine), part, fnames) \
-        .where((F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))) \
-        .select(F.col("a_" + part).alias(part), F.col("a_node").alias("na"), F.col("b_node").alias("nb")).distinct()
-    pa = core.select(part, F.col("node").alias("na"), *[F.col(c).alias("x_" + c) for c in dims])
-    pb = core.select(part, F.col("node").alias("nb"), *[F.col(c).alias("y_" + c) for c in dims])
-    d2 = None
-    for c in dims:
-        t = (F.col("x_" + c) - F.col("y_" + c)) * (F.col("x_" + c) - F.col("y_" + c))
-        d2 = t if d2 is None else d2 + t
-    tested = (cand.join(pa, [part, "na"]).join(pb, [part, "nb"]).where(d2 <= F.lit(float(eps) * float(eps)))
-                  .select(part, "na", "nb").distinct()
-                  .join(comp1.select(part, F.col("node").alias("na"), F.col("root").alias("ra")), [part, "na"])
-                  .join(comp1.select(part, F.col("node").alias("nb"), F.col("root").alias("rb")), [part, "nb"])
-                  .where(F.col("ra") != F.col("rb"))
-                  .select(F.struct(F.col(part), F.col("ra").alias("node")).alias("src"),
-                          F.struct(F.col(part), F.col("rb").alias("node")).alias("dst")).distinct())
-    tested = cut_lineage(tested)
-    if tested.isEmpty():
-        comp = comp1
-    else:
-        roots = comp1.select(F.struct(part, F.col("root").alias("node")).alias("node")).distinct()
-        comp2 = _components(roots, tested, part).select(part, F.col("node").alias("root"), F.col("root").alias("root2"))
-        comp = comp1.join(comp2, [part, "root"]).select(part, "node", F.col("root2").alias("root"))
-    core_lab = cut_lineage(core.join(comp, [part, "node"]).select(part, "pid", "root"))
+    edges = auto.where("a_cid <> b_cid").select(F.col("a_cid").alias("src"), F.col("b_cid").alias("dst"))
+    comp = cut_lineage(connected_components(cells, edges, node="cid"))
+    core = cut_lineage(core.join(comp.withColumnRenamed("node", "cid"), "cid").select(part, *dims, "pid", "w", "root"))
+
+    # 4b. box by box, then point by point, between what is still in different components
+    links = near_groups(core, eps, part, dims, "root")
+    if links is not None:
+        more = long_components(links)
+        core = core.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left") \
+                   .withColumn("root", F.coalesce("top", "root")).drop("top")
+    # a cluster is named by its smallest order key
+    names = core.groupBy("root").agg(F.min("pid").alias("first"))
+    core_lab = cut_lineage(core.join(names, "root").select(part, *dims, "w", F.col("first").alias("root")))
 
     # 5. border points: smallest root among core neighbours
-    border = (pairs.join(core_lab.select(part, F.col("pid").alias("nb"), "root"), [part, "nb"])
-                   .groupBy(part, "pid").agg(F.min("root").alias("broot")))
-    out = (pos.join(core_lab, [part, "pid"], "left")
-              .join(border, [part, "pid"], "left")
-              .withColumn("root", F.when(F.col("is_core"), F.col("root")).otherwise(F.col("broot")))
+    border = near_aggregate(pos.where("not is_core"), core_lab, eps, part, dims, "min", by="root", out="broot")
+    out = (pos.join(core_lab.drop("w"), [part, *dims], "left")
+              .join(border, [part, *dims], "left")
+              .withColumn("root", F.coalesce("root", "broot"))
               .select(part, *dims, "pid", "w", "is_core", "root"))
     return out
 

@@ -1,17 +1,23 @@
 """Spark session helpers.
 
-The library never creates its own cluster-side scratch space: lineage cuts
-(``DataFrame.checkpoint``) go to the folder the cluster names in
-``spark.checkpoint.dir``. Only a local-mode session (tests, the bench) with no
-such setting gets a fresh folder under the system temp directory.
+The library never creates its own cluster-side scratch space: lineage cuts are
+Parquet tables in the folder the cluster names in ``spark.checkpoint.dir``.
+Only a local-mode session (tests, the bench) with no such setting gets a fresh
+folder under the system temp directory.
+
+A cut is a written table and not ``DataFrame.checkpoint``: a checkpointed frame
+keeps the size estimate of the plan that made it, and estimates of joins
+multiply, so that in a loop their digits grow with every round until planning
+takes longer than the work. A table that is read back has the size of its files.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "alpina",
@@ -56,10 +62,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df):
-    """Materialise ``df`` to the reliable checkpoint folder and return the cut frame."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new folder name in the shared folder of ``spark.checkpoint.dir`` (all executors see it)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, tag: str, partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Cuts the lineage; the files are columnar and their size is known, so
+    Spark's own broadcast threshold can judge it.
+    """
+    path = path or shared_path(df.sparkSession, tag)
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a written table, read back."""
+    return store(df, "cut")
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``shared_path`` that no later plan reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:
