@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import string
-import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, table_path
+from ..session import remove_table, shared_path, store, table_path  # noqa: F401  (shared by the operators)
 
 #: fixed values: the word of the decontamination and shingle contracts, and white-space words
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -21,25 +20,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def shared_path(spark: SparkSession, tag: str) -> str:
-    """A new folder name in the shared folder of ``spark.checkpoint.dir`` (all executors see it)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
-def store(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    Cuts the lineage like ``checkpoint()``; in addition the files are columnar
-    and their size is known, so Spark's own broadcast threshold can judge it.
-    """
-    path = shared_path(df.sparkSession, tag)
-    w = df.write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("string")
 
