@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_content, mixing, near_join, positional_index, quality, template_lines, token_output, toxicity, warc_index
+from . import (exact_dedup, filter_audit, html_content, mixing, near_join, notice_search, positional_index, quality, rotated_centroids,
+               template_lines, token_output, toxicity, warc_index)
 from .common import read_table
 
 
@@ -150,3 +151,70 @@ def op9_near_join(spark, sf_dir):
 
 
 QUERIES["op9_near_join"] = op9_near_join
+
+
+def op11_license_notices(spark, sf_dir):
+    return notice_search.license_query(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_license_notices"] = op11_license_notices
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+QUERIES["op12_filter_audit"] = op12_filter_audit
+ORACLE["op12_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS m,
+             coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS good,
+             coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL), false) AS toxic FROM t),
+c AS (SELECT part, m, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, m),
+b AS (SELECT unnest([0, 1, 2, 3, 4]) AS x),
+o AS (SELECT [p.x, q.x, r.x, s.x, u.x] AS bits FROM b p, b q, b r, b s, b u
+      WHERE len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5),
+st AS (SELECT array_to_string(list_transform(bits, lambda x: substr('ABCDE', x + 1, 1)), '') AS filter_order, step, (1 << bits[step])::BIGINT AS own,
+              coalesce(list_sum(list_transform(bits[1:step - 1], lambda x: 1 << x)), 0)::BIGINT AS passed FROM (SELECT bits, unnest(range(1, 6)) AS step FROM o)),
+r AS (SELECT part, filter_order, step, own,
+             sum(CASE WHEN m & (passed | own) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN m & passed = 0 AND m & own <> 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN m & passed <> 0 AND m & own <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN m = own THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN m & passed = 0 AND m & own <> 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN m & passed = 0 AND m & own <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, st GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r"""
+
+
+def op13_rotated_centroids(spark, sf_dir):
+    return rotated_centroids.clustered(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op13_rotated_centroids"] = op13_rotated_centroids
+
+
+def _centroid_sql() -> str:
+    """Rounds written out one after the other; components in rows."""
+    steps = [f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {rotated_centroids.LENGTH} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {rotated_centroids.LENGTH}),
+x AS MATERIALIZED (SELECT rid, unnest(range(1, {rotated_centroids.LENGTH + 1})) AS i, unnest(v) AS q FROM e),
+s AS (SELECT row_number() OVER (ORDER BY sha256('{rotated_centroids.SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM e),
+c0 AS MATERIALIZED (SELECT c, unnest(range(1, {rotated_centroids.LENGTH + 1})) AS i, unnest(v) AS q FROM s WHERE c < {rotated_centroids.K})"""]
+    for r in range(rotated_centroids.ROUNDS + 1):
+        steps.append(f"""
+d{r} AS (SELECT x.rid, c.c, sum((x.q - c.q) * (x.q - c.q))::BIGINT AS dist FROM x JOIN c{r} c ON x.i = c.i GROUP BY x.rid, c.c),
+a{r} AS MATERIALIZED (SELECT rid, arg_min(c, dist * {rotated_centroids.K} + c) AS c, min(dist) AS dist FROM d{r} GROUP BY rid)""")
+        if r < rotated_centroids.ROUNDS:
+            steps.append(f"""
+m{r} AS (SELECT a.c, x.i, sum(x.q) AS t, count(*) AS n FROM a{r} a JOIN x ON a.rid = x.rid GROUP BY a.c, x.i),
+c{r + 1} AS MATERIALIZED (SELECT c.c, c.i, coalesce(((t - ((t % n) + n) % n) // n)::BIGINT, c.q) AS q FROM c{r} c LEFT JOIN m{r} m ON c.c = m.c AND c.i = m.i)""")
+    last = rotated_centroids.ROUNDS
+    return ",".join(steps) + f"""
+SELECT e.vec_id, a.c::INT AS cluster, a.dist AS distance, (sum(a.dist) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.dist) OVER ())::BIGINT AS inertia, h.sha AS centroid_sha256
+FROM a{last} a JOIN e ON a.rid = e.rid JOIN (SELECT c, sha256(string_agg(q::VARCHAR, ',' ORDER BY i)) AS sha FROM c{last} GROUP BY c) h ON a.c = h.c"""
+
+
+ORACLE["op13_rotated_centroids"] = _centroid_sql()
