@@ -1,24 +1,31 @@
 """Token ids as binary files: frequency-ranked ids in Stream VByte, decoded by numpy table lookup.
 
-1. Documents are range-partitioned by (``doc_id``, text hash), so files hold
-   disjoint ascending ranges, and tokenised once; the ids are stored in the
-   shared folder with their place (range, row).
+1. Documents are tokenised where they are read; the ids (two bytes each where
+   the vocabulary allows it) are stored in the shared folder. Texts are never
+   shuffled.
 2. Token counts per task are summed over all documents; ids are ranked by
    falling count, ties by id. The rank table has a row per vocabulary entry,
    which bounds what goes to the driver and to the tasks.
-3. Each task writes ranks to one file of chunks of about ``CHUNK_TOKENS``
-   tokens. The manifest (file, first place, documents, tokens) is a stored
-   table; only files named there count, so retried tasks leave no trace in it.
+3. The ids are range-partitioned by (``doc_id``, text hash, row number), so
+   files hold disjoint ascending ranges and one repeated document cannot fill a
+   range. Each task writes ranks to one file of chunks of about
+   ``CHUNK_TOKENS`` tokens. The manifest (file, range, documents, tokens) is a
+   stored table; only files named there count, so retried tasks leave no trace.
+4. Files are read back by a task each.
 
 Tokenising: white space never joins tokens in the vocabulary used, so a text is
 cut at ASCII white space and each distinct piece goes through the tokenizers
-library once per worker: plain lower-cased words through its model, all other
-pieces through the whole tokenizer (joined by a special token, cut again by its
-id). The memo is emptied when it holds ``MEMO`` pieces.
+library: a run of letters with punctuation behind it through its model, all
+other pieces through the whole tokenizer. Pieces are remembered in two
+generations of at most ``MEMO`` each (about 50 MB): a full generation becomes
+the old one, and what is asked for again moves on. A worker keeps them between
+its tasks.
 
 Defined results: a null or empty text is the end id alone; a null ``doc_id``
 comes first; repeated rows are separate documents; an empty table gives no
-file. Texts of any length are one document and are never cut.
+file. Texts of any length are one document and are never cut. ``doc_id`` is
+cast to long. Only ``doc_id`` and ``text`` are read, so further columns cannot
+clash.
 """
 
 from __future__ import annotations
@@ -36,15 +43,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import stream_vbyte
-from .common import open_fs, shared_path, store, text_or_empty
+from .common import open_fs, shared_path, store, text_groups, text_or_empty
 
 CHUNK_TOKENS = 1 << 20
-MEMO = 600_000
+MEMO = 250_000
 #: magic, documents, tokens, control bytes, data bytes
 HEAD = "<4sQQQQ"
 MAGIC = b"TKV1"
-
-_WORKER: dict = {}
+#: ASCII punctuation that is a word of its own behind letters (no apostrophe, which begins contractions, and no "<", which begins marks)
+TAILS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -52,63 +59,50 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class PieceTokenizer:
-    """Ids of whole texts through the tokenizers library, each distinct piece encoded once."""
+class PieceTokenizer(dict):
+    """Ids of whole texts through the tokenizers library; a dict from piece to its ids that learns what is missing."""
 
     def __init__(self, path: str, memo: int = MEMO):
         from tokenizers import Tokenizer
+        super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.memo, self.limit, self.cores = {}, memo, {}
-        self.marks = sorted((t.content for t in self.library.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.cut = self.marks[0]
-        self.cut_id = self.library.token_to_id(self.cut)
-
-    def _library_ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece as little-endian bytes, by one call for all pieces."""
-        ids = np.array(self.library.encode_batch_fast([self.cut.join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.append(np.flatnonzero(ids == self.cut_id), len(ids))
-        starts = np.append(0, ends[:-1] + 1)
-        if len(ends) != len(pieces):
-            raise ValueError("the cutting token was lost")
-        return [ids[a:b].tobytes() for a, b in zip(starts, ends)]
-
-    def _learn(self, pieces: set[str]):
-        cores, memo, tokenize, odd = self.cores, self.memo, self.library.model.tokenize, []
-        if len(cores) > 2 * self.limit:
-            cores.clear()
-        for p in pieces:
-            # a run of letters, or of full stops and commas, is one word of the model, spelt in its byte alphabet;
-            # letters up to U+024F lower-case one by one and never join with a full stop or comma
-            core = p.rstrip(".,")
-            plain = core.isalpha() and (core.isascii() or max(core) < "ɐ" and len(core.lower()) == len(core) and unicodedata.is_normalized("NFC", core))
-            if not plain:
-                odd.append(p)
-                continue
-            found = b""
-            for x in (core.lower(), p[len(core):]) if len(core) < len(p) else (core.lower(),):
-                ids = cores.get(x)
-                if ids is None:
-                    spelt = x if x.isascii() else x.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    ids = cores[x] = array("I", [t.id for t in tokenize(spelt)]).tobytes()
-                found += ids
-            memo[p] = found
-        joinable = [p for p in odd if not any(m in p for m in self.marks)]
-        for i in range(0, len(joinable), 1000):
-            memo.update(zip(joinable[i:i + 1000], self._library_ids(joinable[i:i + 1000])))
-        for p in set(odd).difference(joinable):
-            memo[p] = np.array(self.library.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.tokenize, self.old, self.limit = self.library.model.tokenize, {}, memo
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = self._learned(piece)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+    def _learned(self, piece: str) -> bytes:
+        # a run of letters is one word of the model, spelt in its byte alphabet, and so is a run of punctuation;
+        # letters up to U+024F lower-case one by one
+        core = piece if piece.isalpha() else piece.rstrip(TAILS)
+        if core.isascii():
+            if not core.isalpha():
+                return array(self.code, self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+            spelt = low = core.lower()
+        else:
+            low = core.lower()
+            if not core.isalpha() or max(core) >= "\u0250" or len(low) != len(core) or not unicodedata.is_normalized("NFC", core):
+                return array(self.code, self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+            spelt = low.encode().decode("latin-1").translate(BYTE_LETTERS)
+        if low == core:
+            found = array(self.code, [t.id for t in self.tokenize(spelt)]).tobytes()
+        else:
+            found = self[low]
+        return found + self[piece[len(core):]] if len(core) < len(piece) else found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [_pieces(t) for t in texts]
-        new = set().union(*cut).difference(self.memo)
-        if new:
-            if len(self.memo) + len(new) > self.limit:
-                self.memo.clear()
-                new = set().union(*cut)
-            self._learn(new)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        """Ids of each text as little-endian unsigned integers of ``kind``."""
+        get = self.__getitem__
+        return [b"".join(map(get, _pieces(t))) for t in texts]
 
 
 def _pieces(text: str) -> list[str]:
@@ -124,6 +118,9 @@ _OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 17
 BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 
 
+_WORKER: dict[str, PieceTokenizer] = {}
+
+
 def worker_tokenizer(path: str) -> PieceTokenizer:
     """The tokenizer of this Python worker, kept between tasks."""
     if path not in _WORKER:
@@ -131,42 +128,26 @@ def worker_tokenizer(path: str) -> PieceTokenizer:
     return _WORKER[path]
 
 
-def _groups(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
-    """Slices of about ``most`` characters; a longer text is a slice of its own."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """Stored rows ``doc_id, range, row, ids`` (ids as little-endian uint32 bytes, end id included) in ``doc_id`` order."""
+    """Stored rows ``doc_id, h, no, width, ids`` (ids as little-endian unsigned integers of ``width`` bytes, end id included)."""
     text = text_or_empty("text")
-    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
-    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    rows = rows.select("doc_id", "text", F.spark_partition_id().alias("range"))
-    end = struct.pack("<I", end_id)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("no"), text.alias("text"))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from alpina.llm.token_output import worker_tokenizer  # the worker's own module keeps the memo
-        tokenizer, row = worker_tokenizer(path), 0
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            for part in _groups(texts):
-                ids = [np.frombuffer(x + end, "<u4") for x in tokenizer.encode(texts[part])]
-                small = all(int(x.max()) < 65536 for x in ids)
-                out = pdf.iloc[part][["doc_id", "range"]].copy()
-                out["row"] = np.arange(row, row + len(ids))
-                out["width"] = 2 if small else 4
-                out["ids"] = [x.astype("<u2").tobytes() if small else x.tobytes() for x in ids]
-                row += len(ids)
-                yield out
-
-    made = rows.mapInPandas(run, "doc_id long, range int, row long, width int, ids binary")
+        tokenizer = worker_tokenizer(path)
+        width = int(tokenizer.kind[-1])
+        end = end_id.to_bytes(width, "little")
+        for batch in batches:
+            texts = batch.column(3).to_pylist()
+            for part in text_groups(texts, 4_000_000):
+                ids = [x + end for x in tokenizer.encode(texts[part])]
+                kept = [batch.column(i).slice(part.start, len(ids)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "h", "no", "width", "ids"])
+
+    made = rows.mapInArrow(run, "doc_id long, h long, no long, width int, ids binary")
     p = shared_path(docs.sparkSession, "token-ids")
     made.write.option("compression", "zstd").parquet(p)
     return docs.sparkSession.read.schema(made.schema).parquet(p)
@@ -179,67 +160,75 @@ def _ids(width: int, data: bytes) -> np.ndarray:
 def token_counts(tokens: DataFrame) -> DataFrame:
     """``id, n`` over all documents."""
 
-    def count(batches):
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
         total = np.zeros(0, np.int64)
-        for pdf in batches:
-            for width, data in zip(pdf["width"], pdf["ids"]):
-                c = np.bincount(_ids(width, data))
-                if len(c) > len(total):
-                    c[: len(total)] += total
-                    total = c
-                else:
-                    total[: len(c)] += c
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # one width per vocabulary; the ids of a batch stand one behind the other
+            c = np.bincount(_ids(batch.column(0)[0].as_py(), b"".join(batch.column(1).to_pylist())))
+            if len(c) > len(total):
+                c, total = total, c
+            total[: len(c)] += c
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
-    return tokens.select("width", "ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("width", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_files(tokens: DataFrame, ids_by_rank: np.ndarray, folder: str) -> DataFrame:
-    """Write rank files below ``folder``; returns the stored manifest ``file, range, row, documents, tokens``."""
+    """Write rank files below ``folder`` in ``doc_id`` order; returns the stored manifest ``file, range, documents, tokens``."""
     rank = np.zeros(int(ids_by_rank.max(initial=0)) + 1, np.uint32)
     rank[ids_by_rank] = np.arange(len(ids_by_rank), dtype=np.uint32)
     spark = tokens.sparkSession
     shared = spark.sparkContext.broadcast(rank)  # one entry per vocabulary entry
+    order = ["doc_id", "h", "no"]
+    rows = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", F.spark_partition_id().alias("range"), "width", "ids")
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
         fs, path = open_fs(folder)
-        out, name, place, after, held, count, total, documents = None, "", None, None, [], 0, 0, 0
+        out, name, place, total, documents = None, "", 0, 0, 0
+        doc_ids: list = []
+        held: list[bytes] = []
+        size = width = 0
 
         def flush():
-            nonlocal held, count
+            nonlocal size
             if held:
-                lengths = np.array([len(x) for _, x in held], "<u8")
-                known = np.array([d is not None for d, _ in held], np.uint8)
-                doc_ids = np.array([d or 0 for d, _ in held], "<i8")
-                control, data = stream_vbyte.encode(shared.value[np.concatenate([x for _, x in held])])
+                lengths = np.array([len(x) // width for x in held], "<u8")
+                known = np.array([d is not None for d in doc_ids], np.uint8)
+                control, data = stream_vbyte.encode(shared.value[_ids(width, b"".join(held))])
                 out.write(struct.pack(HEAD, MAGIC, len(held), int(lengths.sum()), len(control), len(data)))
-                for x in (known.tobytes(), doc_ids.tobytes(), lengths.tobytes(), control, data):
+                for x in (known.tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), lengths.tobytes(), control, data):
                     out.write(x)
-            held, count = [], 0
-
-        def close():
-            flush()
-            out.close()
-            return pd.DataFrame({"file": [name], "range": [place[0]], "row": [place[1]], "documents": [documents], "tokens": [total]})
+            doc_ids.clear()
+            held.clear()
+            size = 0
 
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                if out is None or (r.range, r.row) != after:  # a new run of consecutive rows
-                    if out is not None:
-                        yield close()
-                    fs.create_dir(path, recursive=True)
-                    name, place, total, documents = f"{uuid.uuid4().hex}.tkv", (r.range, r.row), 0, 0
-                    out = fs.open_output_stream(f"{path}/{name}", compression=None)
-                ids = _ids(r.width, r.ids)
-                held.append((None if pd.isna(r.doc_id) else int(r.doc_id), ids))
-                after, count, total, documents = (r.range, r.row + 1), count + len(ids), total + len(ids), documents + 1
-                if count >= CHUNK_TOKENS:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if out is None:
+                fs.create_dir(path, recursive=True)
+                name = f"{uuid.uuid4().hex}.tkv"
+                out = fs.open_output_stream(f"{path}/{name}", compression=None)
+                place, width = batch.column(1)[0].as_py(), batch.column(2)[0].as_py()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                doc_ids.append(doc_id)
+                held.append(ids)
+                size += len(ids)
+                total, documents = total + len(ids) // width, documents + 1
+                if size >= CHUNK_TOKENS * width:
                     flush()
         if out is not None:
-            yield close()
+            flush()
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([place], pa.int32()), pa.array([documents], pa.int64()), pa.array([total], pa.int64())],
+                                             names=["file", "range", "documents", "tokens"])
 
-    return store(tokens.mapInPandas(write, "file string, range int, row long, documents long, tokens long"), "token-manifest")
+    return store(rows.mapInArrow(write, "file string, range int, documents long, tokens long"), "token-manifest")
 
 
 def read_file(fs, path: str, ids_by_rank: np.ndarray) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -261,9 +250,10 @@ def read_documents(manifest: DataFrame, ids_by_rank: np.ndarray, folder: str) ->
     """``doc_id, start, n_tokens, ids_crc32`` of each document, from the files."""
     spark = manifest.sparkSession
     shared = spark.sparkContext.broadcast(ids_by_rank.astype("<u4"))
-    ahead = Window.orderBy("range", "row").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    ahead = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     files = manifest.select("file", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("start"))
-    files = files.repartition("file")
+    # a stated number is not coalesced by the bytes of the manifest: a task per file
+    files = files.repartition(max(1, manifest.count()), "file")
 
     def read(batches):
         fs, path = open_fs(folder)

@@ -48,4 +48,15 @@ def test_empty(spark):
 def test_memo_may_overflow():
     t = T.PieceTokenizer(T.vocabulary_path(), memo=3)
     texts = ["one two three four five", "six one. Two", "", "été one"]
-    assert t.encode(texts) == [np.array(t.library.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert t.encode(texts) == [np.array(t.library.encode(x, add_special_tokens=False).ids, t.kind).tobytes() for x in texts]
+
+
+def test_punctuation_behind_letters_and_a_repeated_document(spark):
+    t = T.PieceTokenizer(T.vocabulary_path())
+    texts = ["word$$$ Wörd!! a&&&b (c) d* e's it's. x|> <|x y_z_ foo.\u00bb q-- 5%% é%%", "été!? ÉTÉ... l'été; --- <|endoftext|>! a<b"]
+    assert [np.frombuffer(x, t.kind).tolist() for x in t.encode(texts)] == [t.library.encode(x, add_special_tokens=False).ids for x in texts]
+    df = spark.createDataFrame([(7, "same words here")] * 300 + [(i, "x") for i in range(20)], "doc_id long, text string")
+    got = T.token_round_trip(df).collect()
+    assert len(got) == 320 and len({r.start for r in got}) == 320 and len({r.ids_crc32 for r in got}) == 2
+    manifest, _, _ = T.token_files(df.repartition(6))
+    assert T.read_documents(manifest, np.arange(9), "unused").rdd.getNumPartitions() == manifest.count() >= 1
