@@ -3,18 +3,21 @@
 1. Every text becomes its set of five-word shingles (hashes), and the set a
    signature of ``TREES`` x ``DEPTH`` MinHashes. Texts with equal sets form a
    class; all further steps see one row per class, weighted by its members.
-2. Each tree is a sorted prefix trie: its labels (a path of ``DEPTH``
-   MinHashes) are sorted, so texts that agree on a prefix of any length stand
-   together, and the common prefix with the row before is enough to read every
-   level. One depth ``d`` serves all texts: the largest at which
-   ``1 - (1 - t^d)^TREES`` - the chance that a pair at the threshold ``t``
-   shares a prefix of length ``d`` in some tree - reaches the target recall.
-   Pairs that share none are lost; longer labels only order neighbours.
-   Rows in one run at that depth are candidates; runs are kept as a chain of
-   neighbours, never as pairs.
+2. Each tree is a sorted prefix trie: its labels are a path of ``DEPTH``
+   MinHashes, and texts that agree on a prefix stand together. All texts are
+   matched on the longest prefix ``d`` at which ``1 - (1 - t^d)^TREES`` - the
+   chance that a pair at the threshold ``t`` shares a prefix of that length in
+   some tree - reaches the target recall. From there prefixes are shortened
+   text by text and tree by tree, one label at a time down to ``SHORTEST``, as
+   long as the run that the shorter prefix gives has at most ``SMALL_RUN``
+   texts: a text with few neighbours is compared with all that are a little
+   like it, which lifts its recall far above the target, and a text in a
+   crowd keeps the prefix that reaches the target. Texts of one run are
+   candidates; a run is kept as links to its first text, never as pairs.
 3. Candidate classes of one connected group are verified exactly: a group is
-   cut into blocks of ``BLOCK`` classes, and each pair of blocks is compared in
-   one task by counting common shingles. A task returns a row per class - its
+   cut into blocks of about ``BLOCK`` classes and at most about
+   ``BLOCK_SHINGLES`` shingles, and each pair of blocks is compared in one task
+   by counting common shingles. A task returns a row per class - its
    links and the class it hangs on - and no pairs. Each class goes with its
    shingles to every block of its group: ``N * ceil(N / BLOCK)`` rows for ``N``.
 4. Links and members are summed; classes joined by links form a near-duplicate
@@ -35,19 +38,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import packed, store, text_groups, text_or_empty, unpacked
+from .common import packed, remove_table, shared_path, store, text_groups, text_or_empty, trim_memory, unpacked
 
 NGRAM = 5
 THRESHOLD = 0.8
 RECALL = 0.99
 TREES, DEPTH = 16, 8
-BLOCK = 512
-#: rows of verification work that go to one task together
-PACK = 2000
+#: the shortest prefix, and the largest run that a prefix may be shortened to
+SHORTEST, SMALL_RUN = 4, 16
+BLOCK, BLOCK_SHINGLES = 512, 1 << 19
+#: shingles of verification work that go to one task together, on average
+PACK_SHINGLES = 1 << 21
 #: the word class of the contract, on UTF-8 bytes
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 _U = np.uint64
@@ -108,7 +113,7 @@ def sketched(docs: DataFrame, ngram: int, trees: int, depth: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for part in text_groups(texts):
+            for part in text_groups(texts, 500_000):
                 sets = [shingles(t, ngram) for t in texts[part]]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 paths: list = [None] * len(sets)
@@ -117,25 +122,29 @@ def sketched(docs: DataFrame, ngram: int, trees: int, depth: int) -> DataFrame:
                     for i, row in zip(full, sign):
                         paths[i] = row.tobytes()
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[part].astype("Int64"), "h": pdf["h"].iloc[part], "node": [set_key(s) if len(s) else -1 for s in sets], "n": [len(s) for s in sets], "paths": paths})
+            del pdf, texts
+        trim_memory()
 
     text = text_or_empty("text")
     return store(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h")).mapInPandas(run, "doc_id long, h long, node long, n long, paths binary"), "near-sketches")
 
 
-def candidate_edges(classes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
-    """``src, dst``: neighbours in the sorted tries that agree on the first ``prefix`` labels of a tree."""
-    path = F.substring(F.col("paths"), F.col("tree") * (4 * depth) + 1, 4 * depth)
-    paths = classes.select("node", "paths", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select("node", "tree", path.alias("path"))
-    paths = paths.withColumn("run", F.xxhash64("tree", F.substring("path", 1, 4 * prefix)))
-    # runs of one row have no neighbour: only runs that several classes share go on
-    shared = paths.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first")).where("size > 1")
-    shared = store(shared, "near-runs")
-    by_path = Window.partitionBy("run").orderBy("path", "node")
-    short = paths.join(shared.where(F.col("size") <= PACK), "run").withColumn("dst", F.lag("node").over(by_path))
-    # a long run is not sorted in one task: its rows hang on its first class
-    long = paths.join(shared.where(F.col("size") > PACK), "run").withColumn("dst", F.col("first"))
-    both = short.select("node", "dst").unionByName(long.select("node", "dst"))
-    return both.where("node <> dst").select(F.col("node").alias("src"), "dst").distinct()
+def candidate_edges(classes: DataFrame, trees: int, depth: int, prefix: int, shortest: int = SHORTEST, small: int = SMALL_RUN) -> DataFrame:
+    """``src, dst``: texts of a run of a tree, each with the run's first one.
+
+    Runs at ``prefix`` labels hold for all texts; shorter prefixes, down to
+    ``shortest``, only where their run has at most ``small`` texts.
+    """
+    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+    lengths = F.array(*[F.lit(d) for d in range(prefix, min(shortest, prefix) - 1, -1)])
+    rows = classes.select("node", "paths", tree.alias("tree")).select("node", "paths", "tree", F.explode(lengths).alias("d"))
+    label = F.substring(F.col("paths"), F.col("tree") * (4 * depth) + 1, F.col("d") * 4)
+    rows = rows.select("node", "d", F.xxhash64("tree", "d", label).alias("run"))
+    # runs of one row have no neighbour, and a shorter prefix must not lead into a crowd
+    shared = rows.groupBy("run", "d").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("dst"))
+    shared = store(shared.where((F.col("size") > 1) & ((F.col("d") == prefix) | (F.col("size") <= small))).select("run", "dst"), "near-runs")
+    # the texts of a run hang on its first one: no run is sorted or held in one task
+    return rows.select("run", F.col("node").alias("src")).join(shared, "run").where("src <> dst").select("src", "dst").distinct()
 
 
 def _ones(sets: list[np.ndarray], columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,6 +221,7 @@ def _verify_pack(threshold: float):
         for _, g in pdf.groupby(["grp", "b1", "b2"], sort=False):
             sets = [np.frombuffer(x, "<u8") for x in g["shingles"]]
             out.append(verified_block(g["node"].to_numpy(), sets, g["members"].to_numpy(), g["side"].to_numpy(), threshold))
+        trim_memory()
         return pd.concat(out) if out else pd.DataFrame({"node": [], "links": [], "root": []}, dtype="int64")
 
     return run
@@ -226,48 +236,59 @@ def near_groups(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOL
     ``n_links`` the number of other documents with a similarity of ``threshold``
     or more, and ``class_id`` the smallest id that links lead to.
     """
+    made: list[str] = []
+
+    def kept(df: DataFrame, tag: str) -> DataFrame:
+        made.append(shared_path(df.sparkSession, tag))
+        return store(df, tag, path=made[-1])
+
     rows = sketched(docs, ngram, trees, depth)
     full = rows.where("n > 0")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
-    classes = store(full.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min(least).alias("rep"), F.first("paths").alias("paths")), "near-classes")
-    edges = store(candidate_edges(classes, trees, depth, depth_for(recall, threshold, trees, depth)), "near-edges")
+    classes = kept(full.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min(least).alias("rep"), F.first("n").alias("n"), F.first("paths").alias("paths")), "near-classes")
+    edges = kept(candidate_edges(classes, trees, depth, depth_for(recall, threshold, trees, depth)), "near-edges")
     groups = connected_components(edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))), edges)
-    groups = store(groups.join(classes.select("node", "members", "rep"), "node").select("node", F.col("root").alias("grp"), "members", "rep"), "near-groups")
+    groups = kept(groups.join(classes.select("node", "members", "rep", "n"), "node").select("node", F.col("root").alias("grp"), "members", "rep", "n"), "near-groups")
 
     # blocks: classes of a group dealt by hash; a group of one block is compared with itself
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("blocks"))
-    dealt = groups.join(sizes, "grp").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(float(block))), F.ceil(F.sum("n") / F.lit(float(BLOCK_SHINGLES)))).cast("int")
+    sizes = kept(groups.groupBy("grp").agg(blocks.alias("blocks"), F.sum("n").alias("shingles")), "near-sizes")
+    dealt = groups.join(sizes.select("grp", "blocks"), "grp").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     jobs = dealt.select("grp", "node", "members", "rep", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     jobs = jobs.select("grp", "node", "members", "rep", F.least("b", "other").alias("b1"), F.greatest("b", "other").alias("b2"), (F.col("b") > F.col("other")).cast("int").alias("side"))
 
     # shingles of one text per class, read again for the candidates alone
-    wanted = store(groups.select(F.col("rep.doc_id").alias("doc_id"), "node"), "near-wanted")
+    wanted = kept(groups.select(F.col("rep.doc_id").alias("doc_id"), "node"), "near-wanted")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for part in text_groups(texts):
+            for part in text_groups(texts, 500_000):
                 sets = [shingles(t, ngram) for t in texts[part]]
                 yield pd.DataFrame({"node": [set_key(s) for s in sets], "shingles": [s.astype("<u8").tobytes() for s in sets]})
+            del pdf, texts
+        trim_memory()
 
     texts = docs.select("doc_id", text_or_empty("text").alias("text")).join(wanted.select(F.col("doc_id").alias("_d")).distinct(), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
     sets = texts.mapInPandas(sets_of, "node long, shingles binary").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
     work = jobs.join(sets, "node")
-    count = jobs.count()
-    packs = max(1, -(-count // PACK))
+    total = sizes.agg(F.sum(F.col("shingles") * F.col("blocks"))).first()[0] or 0
+    packs = max(1, -(-total // PACK_SHINGLES))
     work = work.withColumn("pack", F.pmod(F.xxhash64("grp", "b1", "b2"), F.lit(packs)))
     checked = work.select("pack", "grp", "node", "members", "b1", "b2", "side", "shingles").groupBy("pack").applyInPandas(_verify_pack(threshold), "node long, links long, root long")
-    checked = store(checked, "near-checked")
+    checked = kept(checked, "near-checked")
 
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     found = checked.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst")).distinct()
     roots = connected_components(found.select(F.col("src").alias("node")).unionByName(found.select(F.col("dst").alias("node"))), found)
     named = classes.select("node", "members", "rep").join(links, "node", "left").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    named = store(named, "near-named")
+    named = kept(named, "near-named")
     first = named.groupBy("root").agg(F.min("rep").alias("first"))
     named = store(named.join(first, "root").select("node", F.col("root").alias("grp"), F.col("rep.doc_id").alias("rep_id"), F.col("first.doc_id").alias("class_id"),
                   (F.col("members") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links")), "near-result")
+    for path in made:  # what is left to read are the sketches and the result
+        remove_table(docs.sparkSession, path)
     out = full.select("doc_id", "h", "node").join(named, "node").select("doc_id", "h", "grp", "class_id", "rep_id", "n_links")
     alone = rows.where("n = 0").select("doc_id", "h", F.lit(None).cast("long").alias("grp"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(alone)

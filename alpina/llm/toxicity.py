@@ -37,7 +37,9 @@ PREFIXES = (4, 5, 6, 7)
 LEAST_WEIGHT, LEAST_DOCS = 0.05, 5
 LEAST_MARGINAL = 0.1
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 2000, 4000
-MEMO = 400_000
+#: word scores that a worker keeps (about 20 MB), and characters scored together
+MEMO = 100_000
+GROUP_CHARS = 500_000
 SPAN = "array<struct<start: int, end: int, p: double>>"
 TOKENS = re.compile(r"[^\W_]+|[.!?\n]")
 ENDS = frozenset(".!?\n")
@@ -343,7 +345,7 @@ def score_toxicity(docs: DataFrame, model: Model, keep_rows: bool = False) -> Da
         from alpina.llm.toxicity import worker_scorer  # the worker's own module keeps the memo
         return worker_scorer(number, shared.value).score
 
-    return map_texts(docs, make, f"score double, spans {SPAN}", keep_rows)
+    return map_texts(docs, make, f"score double, spans {SPAN}", keep_rows, GROUP_CHARS)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

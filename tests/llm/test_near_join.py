@@ -83,3 +83,19 @@ def test_common_counts():
     assert (N.common_counts(a, b, width=7) == [[len(np.intersect1d(x, y)) for y in b] for x in a]).all()
     same = N.common_counts(a, width=7)
     assert all(same[i, j] == len(np.intersect1d(a[i], a[j])) for i in range(5) for j in range(5) if i != j)
+
+
+def test_shorter_prefixes_only_in_small_runs(spark):
+    # five texts share four labels of one tree and nothing else; three of another tree share five
+    def paths(i, trees, depth):
+        labels = np.arange(trees * depth, dtype=">u4") + 1000 * (i + 1)
+        if i < 5:
+            labels[:4] = [1, 2, 3, 4]
+        if i < 3:
+            labels[depth:depth + 5] = [5, 6, 7, 8, 9]
+        return bytearray(labels.tobytes())
+
+    classes = spark.createDataFrame([(i, paths(i, 2, 8)) for i in range(8)], "node long, paths binary")
+    edges = lambda small: {(r.src, r.dst) for r in N.candidate_edges(classes, 2, 8, 6, 4, small).collect()}
+    assert edges(16) == {(1, 0), (2, 0), (3, 0), (4, 0)}
+    assert edges(4) == {(1, 0), (2, 0)} and edges(2) == set()
