@@ -14,8 +14,11 @@ Index: captures are range-partitioned by (reversed-host URL key, time, file,
 offset). A task writes its range as gzip blocks of ``BLOCK_LINES`` lines, then
 the sparse directory (first key, offset and length of each block), then a
 footer with the directory's place. The table of ranges is the upper level: it
-has a row per index file. A lookup bisects the ranges, then the directory of
-one file, and reads one block and the record by byte range.
+has a row per index file. Reading back, the pages' distinct keys are sorted,
+resolved through ranges and directories by binary search, and the blocks and
+then the records are read by byte range, each block once, in tasks of a stated
+number of blocks or bytes. Texts and URLs of any length are written whole;
+``page_id`` is a long; only the named columns are read, so others cannot clash.
 
 Defined results: a null html is the empty payload and is deduplicated like any
 other; a null ``page_id`` is the smallest and is written as ``-``; a null URL
@@ -43,6 +46,8 @@ from pyspark.sql import functions as F
 from .common import open_fs, shared_path, store
 
 BLOCK_LINES = 3000
+#: index blocks, and bytes of the archives, that one task reads back
+BLOCKS_PER_TASK, BYTES_PER_TASK = 8, 16 << 20
 FOOTER = "<QQ4s"
 MAGIC = b"CIX1"
 #: fixed value: the capture time of every record (the tables have none)
@@ -255,6 +260,66 @@ def lookup(spark: SparkSession, ranges: DataFrame, index_folder: str, archive_fo
     return urls.select("url").mapInPandas(find, "url string, page_id long, record_type string, refers_to long, payload_bytes long, payload binary")
 
 
+def search_blocks(ranges: DataFrame, index_folder: str, urls: DataFrame) -> DataFrame:
+    """``index, at, bytes, key``: the index blocks in which the captures of the given ``url`` rows can stand.
+
+    Distinct keys are sorted into ranges; a task walks its keys through the
+    upper level and the directories by binary search, each directory read once.
+    No block is read here, so a key with very many captures only names blocks.
+    """
+    top = sorted((r["first"], r["last"], r["file"]) for r in ranges.collect())  # a row per index file
+    firsts = [x[0] for x in top]
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"key": sorted({_key(surt(None if pd.isna(u) else u)) for u in pdf["url"]})}, dtype=object)
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name_read, directory, starts = None, [], []
+        for pdf in batches:
+            found = []
+            for key in pdf["key"]:
+                # the range before the first one that starts at the key may end with it
+                for first, last, name in top[max(0, bisect.bisect_left(firsts, key) - 1):]:
+                    if first > key:
+                        break
+                    if last < key:
+                        continue
+                    if name != name_read:
+                        name_read, directory = name, read_directory(index_folder, name)
+                        starts = [d[0] for d in directory]
+                    for block in directory[max(0, bisect.bisect_left(starts, key) - 1):bisect.bisect_right(starts, key)]:
+                        found.append((name, block[1], block[2], key))
+            yield pd.DataFrame(found, columns=["index", "at", "bytes", "key"]).astype({"at": "int64", "bytes": "int64"})
+
+    wanted = urls.select("url").distinct().mapInPandas(keys, "key string").distinct()
+    return wanted.repartitionByRange("key").sortWithinPartitions("key").mapInPandas(find, "index string, at long, bytes long, key string")
+
+
+def find_captures(ranges: DataFrame, index_folder: str, urls: DataFrame) -> DataFrame:
+    """``file, offset, length`` of all captures of the given ``url`` rows; each block is read once."""
+    wanted = store(search_blocks(ranges, index_folder, urls), "index-search")
+    total = ranges.agg(F.sum("blocks")).first()[0] or 0
+    # a stated number of tasks: the rows are small, what they stand for is not
+    dealt = wanted.repartition(max(1, -(-total // BLOCKS_PER_TASK)), "index", "at").sortWithinPartitions("index", "at", "key")
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, path = open_fs(index_folder)
+        at, held = None, {}
+        for pdf in batches:
+            got = []
+            for r in pdf.itertuples(index=False):
+                if (r.index, r.at) != at:
+                    at, held = (r.index, r.at), {}
+                    with fs.open_input_file(f"{path}/{r.index}") as f:
+                        for key, v in _block(f, int(r.at), int(r.bytes)):
+                            held.setdefault(key, []).append(v[4:])
+                got += held.get(r.key, [])
+            yield pd.DataFrame(got, columns=["file", "offset", "length"]).astype({"offset": "int64", "length": "int64"})
+
+    return dealt.mapInPandas(blocks, "file string, offset long, length long")
+
+
 def read_captures(ranges: DataFrame, index_folder: str) -> DataFrame:
     """Every capture in the index, read block by block through the directories."""
 
@@ -272,16 +337,21 @@ def read_captures(ranges: DataFrame, index_folder: str) -> DataFrame:
                     got = [v[4:] for _, v in _block(f, int(r.at), int(r.bytes))]
                 yield pd.DataFrame(got, columns=["file", "offset", "length"])
 
-    parts = ranges.select("file").mapInPandas(directories, "index string, at long, bytes long").repartition("index", "at")
+    total = ranges.agg(F.sum("blocks")).first()[0] or 0
+    parts = ranges.select("file").mapInPandas(directories, "index string, at long, bytes long").repartition(max(1, -(-total // BLOCKS_PER_TASK)), "index", "at")
     return parts.mapInPandas(blocks, "file string, offset long, length long")
 
 
 def read_archives(captures: DataFrame, archive_folder: str) -> DataFrame:
     """The records at the given captures: ``page_id, payload_bytes, payload_digest, record_type, refers_to, url``.
 
-    Captures are dealt by file and 8 MB of it, so a task reads forward; a file is never held whole.
+    Captures are dealt by file and 8 MB of it, so a task reads forward; a file is
+    never held whole. A task gets about ``BYTES_PER_TASK`` of the archives.
     """
-    dealt = captures.withColumn("piece", F.floor(F.col("offset") / F.lit(8 << 20))).repartition("file", "piece").sortWithinPartitions("file", "offset")
+    captures = store(captures, "captures-found")
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    dealt = captures.withColumn("piece", F.floor(F.col("offset") / F.lit(8 << 20)))
+    dealt = dealt.repartition(max(1, -(-total // BYTES_PER_TASK)), "file", "piece").sortWithinPartitions("file", "offset")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
 
     def read(batches):
@@ -302,8 +372,8 @@ def read_archives(captures: DataFrame, archive_folder: str) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """Write archives and index of ``pages``, then read every record back through the index."""
+    """Write archives and index of ``pages``, then find every page's URL in the index and read the records back."""
     spark = pages.sparkSession
     archives, index = shared_path(spark, "warc"), shared_path(spark, "warc-index")
     ranges = write_index(write_archives(typed_records(pages), archives), index)
-    return read_archives(read_captures(ranges, index), archives)
+    return read_archives(find_captures(ranges, index, pages.select("url")), archives)

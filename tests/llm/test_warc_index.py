@@ -34,6 +34,12 @@ def test_round_trip_and_lookup(spark):
     got = W.read_archives(W.read_captures(ranges, index), archives).drop("url").collect()
     assert sorted(map(tuple, got), key=repr) == plain(ROWS)
 
+    everything = W.find_captures(ranges, index, df.select("url"))
+    assert sorted(map(tuple, everything.collect())) == sorted(map(tuple, W.read_captures(ranges, index).collect()))
+    some = W.read_archives(W.find_captures(ranges, index, spark.createDataFrame([("http://b.com/",), ("http://zzz.com/",), (None,)], "url string")), archives)
+    assert sorted((r.page_id or 0) for r in some.collect()) == [0, 5]
+    assert sorted(map(tuple, W.archive_round_trip(df).drop("url").collect()), key=repr) == plain(ROWS)
+
     urls = spark.createDataFrame([("http://a.com/x",), ("http://b.com/",), ("http://zzz.com/",), ("not a url\t",)], "url string")
     found = W.lookup(spark, ranges, index, archives, urls).collect()
     assert sorted((r.url, r.page_id or 0, r.record_type) for r in found) == sorted(
