@@ -7,13 +7,15 @@
    MinHashes, and texts that agree on a prefix stand together. All texts are
    matched on the longest prefix ``d`` at which ``1 - (1 - t^d)^TREES`` - the
    chance that a pair at the threshold ``t`` shares a prefix of that length in
-   some tree - reaches the target recall. From there prefixes are shortened
-   text by text and tree by tree, one label at a time down to ``SHORTEST``, as
+   some tree - reaches the target recall. From there prefixes can be shortened
+   text by text and tree by tree, one label at a time down to ``shortest``, as
    long as the run that the shorter prefix gives has at most ``SMALL_RUN``
-   texts: a text with few neighbours is compared with all that are a little
-   like it, which lifts its recall far above the target, and a text in a
-   crowd keeps the prefix that reaches the target. Texts of one run are
-   candidates; a run is kept as links to its first text, never as pairs.
+   texts: a text in a crowd keeps the prefix that reaches the target. By default
+   ``shortest`` is ``SHORTEST``, the prefix that reaches the target itself: with
+   shorter ones more unlike texts hang together in one group before they are
+   verified, and the work on large groups outgrows the disk budget (README.md
+   of this folder). Texts of one run are candidates; a run is kept as links to
+   its first text, never as pairs.
 3. Candidate classes of one connected group are verified exactly: a group is
    cut into blocks of about ``BLOCK`` classes and at most about
    ``BLOCK_SHINGLES`` shingles, and each pair of blocks is compared in one task
@@ -49,7 +51,7 @@ THRESHOLD = 0.8
 RECALL = 0.99
 TREES, DEPTH = 16, 8
 #: the shortest prefix, and the largest run that a prefix may be shortened to
-SHORTEST, SMALL_RUN = 4, 16
+SHORTEST, SMALL_RUN = 6, 16
 BLOCK, BLOCK_SHINGLES = 512, 1 << 19
 #: shingles of verification work that go to one task together, on average
 PACK_SHINGLES = 1 << 21
@@ -228,7 +230,7 @@ def _verify_pack(threshold: float):
 
 
 def near_groups(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL,
-                    trees: int = TREES, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
+                    trees: int = TREES, depth: int = DEPTH, block: int = BLOCK, shortest: int = SHORTEST) -> DataFrame:
     """``doc_id, h, grp, class_id, rep_id, n_links`` of every document.
 
     ``h`` is the text's hash and ``grp`` the number of its group (null for texts
@@ -246,7 +248,7 @@ def near_groups(docs: DataFrame, ngram: int = NGRAM, threshold: float = THRESHOL
     full = rows.where("n > 0")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     classes = kept(full.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min(least).alias("rep"), F.first("n").alias("n"), F.first("paths").alias("paths")), "near-classes")
-    edges = kept(candidate_edges(classes, trees, depth, depth_for(recall, threshold, trees, depth)), "near-edges")
+    edges = kept(candidate_edges(classes, trees, depth, depth_for(recall, threshold, trees, depth), shortest), "near-edges")
     groups = connected_components(edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))), edges)
     groups = kept(groups.join(classes.select("node", "members", "rep", "n"), "node").select("node", F.col("root").alias("grp"), "members", "rep", "n"), "near-groups")
 

@@ -53,11 +53,11 @@ def corpus(seed=8):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("block", [512, 4])
-def test_equals_all_pairs(spark, block):
+@pytest.mark.parametrize("block, shortest", [(512, 6), (4, 4)])
+def test_equals_all_pairs(spark, block, shortest):
     rows = corpus() + [(500, None), (501, ""), (None, "a b c d e f g"), (503, "a b c d e f g"), (503, "A b, c d e f g"), (504, "x y"), (505, "x Y"), (506, "..."), (507, "long " * 20_000), (None, "z")]
     df = spark.createDataFrame([(*r, 1, 2, "g") for r in rows], SCHEMA)
-    got = N.near_duplicates(df, block=block).collect()
+    got = N.near_duplicates(df, block=block, shortest=shortest).collect()
     assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=repr) == plain(rows)
 
 
