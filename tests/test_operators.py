@@ -183,3 +183,21 @@ def test_footprint_prune_is_exact(spark):
     assert full.keys() == pruned.keys()
     for k in full:
         assert full[k].n_arcs == pruned[k].n_arcs and abs(full[k].area - pruned[k].area) < 1e-6
+
+
+def test_rings_nest_holes_and_chain_long_boundaries(spark):
+    # a closed necklace of discs (shell and hole), a disc alone in the hole, and a long straight chain
+    r, n = 1.0, 40
+    ring = [(1, 8 * math.cos(2 * math.pi * i / n), 8 * math.sin(2 * math.pi * i / n)) for i in range(n)] + [(1, 0.25, 0.1)]
+    chain = [(2, 100 + 1.5 * i, 0.0) for i in range(300)]
+    df = spark.createDataFrame([(c, float(x), float(y)) for c, x, y in ring + chain], "cluster_id int, E_lv95 double, N_lv95 double")
+    v = footprint_vertices(boundary_arcs(df, r), r, simplify=0.0).toPandas()
+    shape = {k: len(g) for k, g in v.groupby(["cluster_id", "part", "ring"])}
+    assert set(shape) == {(1, 0, 0), (1, 0, 1), (1, 1, 0), (2, 0, 0)}
+    assert shape[2, 0, 0] > 300
+    for k, g in v.groupby(["cluster_id", "part", "ring"]):
+        xy = g.sort_values("idx")[["x", "y"]].to_numpy()
+        assert np.allclose(xy[0], xy[-1]) and (np.diff(g["idx"].sort_values()) == 1).all()
+        assert np.hypot(*np.diff(xy, axis=0).T).max() < 0.2  # neighbours on the ring follow each other
+        area = 0.5 * np.sum(xy[:-1, 0] * xy[1:, 1] - xy[1:, 0] * xy[:-1, 1])
+        assert (area > 0) == (k[2] == 0)
