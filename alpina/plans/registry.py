@@ -470,26 +470,61 @@ def q_reproject_wgs84(spark, sf):
                     F.round("longitude", 7).alias("longitude"), F.round("latitude", 7).alias("latitude"))
 
 
-# --- footprints (G1-G6, K4, K5): geometry is checked by invariants in the tests ------------
+# --- footprints (G1-G6, K4, K5): simplified geometry is checked by invariants in the tests ------------
 
-def _footprint_base(spark, sf):
-    from ..operators.dbscan import dbscan
-    return dbscan(quality.with_year(fx.projected(_elevated(spark, sf))), EPS, MIN_SAMPLES)
+#: arcs narrower than this (radians) are rounding of three circles through one point
+LEAST_ARC = 1e-9
 
-
-@register("footprint_arcs_area")
+ARCS_SQL = f"""
+WITH RECURSIVE c AS (""" + dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL AND E_lv95 IS NOT NULL",
+    "SELECT observation_uuid, year AS cluster_year, E_lv95, N_lv95 FROM proj", EPS, MIN_SAMPLES, False) + f"""),
+ctr AS MATERIALIZED (SELECT DISTINCT cluster_id, E_lv95 AS x, N_lv95 AS y FROM c WHERE cluster_id <> -1),
+pr AS (SELECT a.cluster_id, a.x, a.y, atan2(b.y - a.y, b.x - a.x) AS th, sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS d
+       FROM ctr a JOIN ctr b ON a.cluster_id = b.cluster_id AND abs(a.x - b.x) < {2 * EPS} AND abs(a.y - b.y) < {2 * EPS}),
+ang AS (SELECT cluster_id, x, y, CASE WHEN th - acos(d / {2 * EPS}) < 0 THEN th - acos(d / {2 * EPS}) + 2 * pi() ELSE th - acos(d / {2 * EPS}) END AS s, 2 * acos(d / {2 * EPS}) AS w
+        FROM pr WHERE d > 0 AND d < {2 * EPS}),
+iv AS (SELECT cluster_id, x, y, s, least(s + w, 2 * pi()) AS e FROM ang
+       UNION ALL SELECT cluster_id, x, y, CAST(0 AS DOUBLE), s + w - 2 * pi() FROM ang WHERE s + w > 2 * pi()),
+new AS (SELECT *, max(e) OVER (PARTITION BY cluster_id, x, y ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM iv),
+num AS (SELECT *, sum(CASE WHEN before IS NULL OR s > before THEN 1 ELSE 0 END) OVER (PARTITION BY cluster_id, x, y ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM new),
+isl AS (SELECT cluster_id, x, y, k, min(s) AS s, max(e) AS e FROM num GROUP BY cluster_id, x, y, k),
+gap AS (SELECT cluster_id, x, y, e AS a0, coalesce(lead(s) OVER (PARTITION BY cluster_id, x, y ORDER BY s),
+               first_value(s) OVER (PARTITION BY cluster_id, x, y ORDER BY s) + 2 * pi()) AS a1 FROM isl),
+arcs AS MATERIALIZED (SELECT row_number() OVER (ORDER BY cluster_id, x, y, a0) AS id, *,
+           0.5 * ({EPS * EPS} * (a1 - a0) + {EPS} * x * (sin(a1) - sin(a0)) - {EPS} * y * (cos(a1) - cos(a0))) AS term
+         FROM (SELECT * FROM gap WHERE a1 - a0 > {LEAST_ARC}
+               UNION ALL SELECT cluster_id, x, y, CAST(0 AS DOUBLE), 2 * pi() FROM ctr WHERE NOT EXISTS (SELECT 1 FROM ang WHERE ang.cluster_id = ctr.cluster_id AND ang.x = ctr.x AND ang.y = ctr.y)) q)"""
+
+
+@register("footprint_arcs_area", ARCS_SQL + """
+SELECT cluster_id, count(*) AS n_arcs, round(sum(term), 1) AS area FROM arcs GROUP BY cluster_id""", ("proj",))
 def q_footprint_arcs_area(spark, sf):
     from ..operators.footprint import arc_area, boundary_arcs
-    return arc_area(boundary_arcs(_footprint_base(spark, sf), EPS), EPS)
+    arcs = boundary_arcs(_footprint_base(spark, sf), EPS).where(F.col("a1") - F.col("a0") > LEAST_ARC)
+    return arc_area(arcs, EPS).withColumn("area", F.round("area", 1))
+
+
+def _footprint_base(spark, sf):
+    from ..operators.dbscan import dbscan
+    return dbscan(quality.with_year(fx.projected(_elevated(spark, sf))), EPS, MIN_SAMPLES)
 
 
-@register("footprint_polygons")
+# rings: an arc goes on at the arc that starts nearest to its end; a ring is the set reached from its smallest arc
+@register("footprint_polygons", ARCS_SQL + f""",
+pt AS (SELECT id, cluster_id, term, x + {EPS} * cos(a0) AS sx, y + {EPS} * sin(a0) AS sy, x + {EPS} * cos(a1) AS ex, y + {EPS} * sin(a1) AS ey FROM arcs),
+nx AS MATERIALIZED (SELECT a.id, arg_min(b.id, (b.sx - a.ex) * (b.sx - a.ex) + (b.sy - a.ey) * (b.sy - a.ey)) AS next FROM pt a JOIN pt b ON a.cluster_id = b.cluster_id
+       AND abs(b.sx - a.ex) <= {1e-6 * EPS} AND abs(b.sy - a.ey) <= {1e-6 * EPS} GROUP BY a.id),
+ring(id, root) AS (SELECT id, id FROM nx UNION SELECT nx.next, ring.root FROM ring JOIN nx ON nx.id = ring.id WHERE ring.root < nx.next),
+named AS (SELECT id, min(root) AS root FROM ring GROUP BY id),
+rings AS (SELECT cluster_id, root, sum(term) AS area FROM named JOIN pt USING (id) GROUP BY cluster_id, root)
+SELECT cluster_id, count(*) FILTER (area > 0) AS n_parts, count(*) AS n_rings FROM rings GROUP BY cluster_id""", ("proj",))
 def q_footprint_polygons(spark, sf):
     from ..operators.footprint import boundary_arcs, footprint_vertices
-    v = footprint_vertices(boundary_arcs(_footprint_base(spark, sf), EPS), EPS)
+    arcs = boundary_arcs(_footprint_base(spark, sf), EPS).where(F.col("a1") - F.col("a0") > LEAST_ARC)
+    v = footprint_vertices(arcs, EPS)
     return v.groupBy("cluster_id").agg(F.countDistinct("part").alias("n_parts"),
-                                       F.countDistinct("part", "ring").alias("n_rings"),
-                                       F.count(F.lit(1)).alias("n_vertices"))
+                                       F.countDistinct("part", "ring").alias("n_rings"))
 
 
 @register("footprint_geojson")
