@@ -701,3 +701,15 @@ def q_combined_name(spark, sf):
     c = fx.dataset_catalog(spark, sf).withColumn("y", F.regexp_extract("path", r"(\d{4})", 1))
     groups = c.groupBy("y").agg(F.sort_array(F.collect_list("path")).alias("inputs"))
     return groups.select("y", combined_name("inputs").alias("combined_name"))
+
+
+# --- parsers (S3) over documents that Spark makes of the tables -----------------------------------
+
+@register("taxa_json", "SELECT taxon_id, iconic_taxon_name, common_name FROM taxa", ("taxa",))
+def q_taxa_json(spark, sf):
+    from ..sources.tables import parse_taxa_json
+    entry = F.struct(F.col("taxon_id").cast("string"), F.struct("iconic_taxon_name", "common_name"))
+    # a document holds at most 500 taxa
+    documents = fx.taxa_cache(spark, sf).groupBy(F.floor(F.col("taxon_id") / 500).alias("document")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    return parse_taxa_json(documents)

@@ -92,13 +92,25 @@ def read_taxa_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_manifest(documents: DataFrame, value: str = "value") -> DataFrame:
-    """JSON arrays of relative CSV paths -> ``(pos, entry)``; other documents give no rows."""
+    """JSON arrays of relative paths -> ``(pos, entry)``, every entry; other documents give no rows."""
     arr = F.from_json(value, T.ArrayType(T.StringType()))
-    return documents.select(F.posexplode(arr).alias("pos", "entry")).where(F.lower("entry").endswith(".csv"))
+    return documents.select(F.posexplode(arr).alias("pos", "entry"))
+
+
+def csv_entries(manifest: DataFrame) -> DataFrame:
+    """The entries that the map offers: those that end in ``.csv``. An append keeps the others too."""
+    return manifest.where(F.lower("entry").endswith(".csv"))
 
 
 def read_manifest(spark: SparkSession, *paths: str) -> DataFrame:
-    """The manifest at the first location that exists; none is an empty manifest."""
+    """The manifest at the first location with a CSV entry, else at the first that exists; none is an empty manifest.
+
+    A manifest is a short list of run outputs: a location is probed by one row.
+    """
+    for path in paths:
+        found = parse_manifest(_whole_text(spark, path))
+        if not csv_entries(found).limit(1).isEmpty():
+            return found
     return parse_manifest(_whole_text(spark, *paths))
 
 

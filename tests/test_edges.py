@@ -15,7 +15,7 @@ from alpina.operators.taxa import cached_taxa_for, request_batches, required_tax
 from alpina.plans.pipeline import with_altitude
 from alpina.sinks.writers import geojson_collection, write_csv
 from alpina.sources.raster import grid_to_strips, require_tiles
-from alpina.sources.tables import read_csv_strings, read_geojson_features, read_manifest, read_taxa_json
+from alpina.sources.tables import read_csv_strings, read_geojson_features, csv_entries, read_manifest, read_taxa_json
 
 POINTS = "observation_uuid long, cluster_year int, E_lv95 double, N_lv95 double"
 
@@ -74,7 +74,7 @@ def test_missing_cache_and_manifest_are_empty(spark, tmpdir_path):
     assert read_manifest(spark, os.path.join(tmpdir_path, "none.json")).count() == 0
     second = os.path.join(tmpdir_path, "m.json")
     open(second, "w").write('["a.csv", "b.txt"]')
-    assert [tuple(r) for r in read_manifest(spark, os.path.join(tmpdir_path, "none.json"), second).collect()] == [(0, "a.csv")]
+    assert [tuple(r) for r in csv_entries(read_manifest(spark, os.path.join(tmpdir_path, "none.json"), second)).collect()] == [(0, "a.csv")]
 
 
 def test_geojson_collection_reads_back(spark, tmpdir_path):
