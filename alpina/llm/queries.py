@@ -112,8 +112,8 @@ l AS (SELECT rid, i, string_split(coalesce(text, ''), chr(10))[i] AS raw,
                                  '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ') AS line
       FROM (SELECT rid, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM d)),
 t AS (SELECT *, string_split(line, ' ') AS w FROM l),
-u AS (SELECT line, len(w) AS n, array_to_string(w[1:2], ' ') AS lead, w, count(DISTINCT rid) AS docs FROM t WHERE len(w) >= 4 GROUP BY ALL),
-leaf AS (SELECT n, lead, sum(docs) AS leaf_docs FROM u GROUP BY n, lead HAVING sum(docs) >= 10 AND count(*) > 1),
+u AS (SELECT line, len(w) AS n, array_to_string(w[1:2], ' ') AS lead, w, count(DISTINCT rid) AS docs FROM t WHERE line <> '' GROUP BY ALL),
+leaf AS (SELECT n, lead, sum(docs) AS leaf_docs FROM u WHERE n >= 4 GROUP BY n, lead HAVING sum(docs) >= 10 AND count(*) > 1),
 o AS (SELECT u.*, leaf_docs FROM u JOIN leaf USING (n, lead)),
 tok AS (SELECT line, n, lead, docs, leaf_docs, unnest(range(1, n + 1)) AS p, unnest(w) AS token FROM o),
 con AS (SELECT n, lead, p, token FROM tok GROUP BY n, lead, p, token, leaf_docs HAVING sum(docs) * 2 > leaf_docs),

@@ -12,9 +12,8 @@ first ``DEPTH`` tokens. Its leaves are (count, leading tokens).
    leaf that agree with the constants in ``similarity`` of all positions
    belong to the general template; if they come from ``min_docs`` documents
    together, they recur as well.
-3. Lines of recurring templates are dropped, wherever they stand. Lines of
-   fewer than ``min_tokens`` tokens are kept: they are too short to be told
-   from prose.
+3. Lines of recurring templates are dropped, wherever they stand. Only
+   generalising needs ``min_tokens`` tokens: a shorter line recurs as itself.
 
 A hot line is one row per task after partial aggregation; general templates
 are counted over distinct lines, so copies add weight and no rows.
@@ -67,11 +66,11 @@ def line_table(rows: DataFrame) -> DataFrame:
 
 def recurring_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
     """``h1, h2`` of every masked line that recurs, as itself or under a general template."""
-    once = lines.where(F.col("n") >= min_tokens).select("k1", "k2", "h1", "h2", "leaf", "n").distinct()
+    once = lines.where(F.col("h1") != F.xxhash64(F.lit(""))).select("k1", "k2", "h1", "h2", "leaf", "n").distinct()  # all but blank lines
     counted = store(once.groupBy("h1", "h2", "leaf", "n").agg(F.count(F.lit(1)).alias("docs")), "line-templates")
     exact = counted.where(F.col("docs") >= min_docs).select("h1", "h2")
 
-    leaves = counted.groupBy("leaf", "n").agg(F.sum("docs").alias("leaf_docs"), F.count(F.lit(1)).alias("templates"))
+    leaves = counted.where(F.col("n") >= min_tokens).groupBy("leaf", "n").agg(F.sum("docs").alias("leaf_docs"), F.count(F.lit(1)).alias("templates"))
     leaves = store(leaves.where((F.col("leaf_docs") >= min_docs) & (F.col("templates") > 1)).select("leaf", "leaf_docs"), "line-leaves")
     # the texts of the distinct lines in those leaves, with their counts
     texts = docs.select(F.explode(masked_lines(text_or_empty("text"))).alias("line")).select("line", *_described(F.col("line")))
