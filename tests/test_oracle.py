@@ -16,7 +16,8 @@ SWEEP = ["filter_position", "filter_grade", "project_lv95", "tile_key", "extract
          "taxon_groups", "taxa_missing", "taxa_cached", "taxa_batches", "taxa_upsert", "enrich_elevation", "filter_elevation",
          "elevation_coverage", "tiles_needed", "tile_urls_needed", "tile_urls_missing", "combine_union",
          "combine_intersect", "eps_neighbours", "reproject_wgs84", "dbscan_2d", "selection_tags",
-         "best_dataset_position", "best_dataset", "manifest_append", "parse_tags", "row_counts"]
+         "best_dataset_position", "best_dataset", "manifest_append", "parse_tags", "row_counts", "taxa_json", "dbscan_3d",
+         "footprint_arcs_area", "footprint_polygons"]
 
 
 def _norm(v):
