@@ -713,3 +713,41 @@ def q_taxa_json(spark, sf):
     documents = fx.taxa_cache(spark, sf).groupBy(F.floor(F.col("taxon_id") / 500).alias("document")).agg(
         F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
     return parse_taxa_json(documents)
+
+
+# --- large single documents (S1, S2, S8, K1, K4), written from the tables and read back by byte ranges ---------
+
+@register("csv_roundtrip", """
+SELECT doc_id, source, length(text) AS n_chars, sha256(text) AS text_sha256 FROM documents""")
+def q_csv_roundtrip(spark, sf):
+    from ..session import shared_path, table_path
+    from ..sinks.writers import write_csv
+    from ..sources.pieces import read_csv_split
+    path = shared_path(spark, "csv")
+    write_csv(spark.read.parquet(table_path(sf, "documents")).select("doc_id", "source", "text"), path)
+    back = read_csv_split(spark, path)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.length("text").cast("long").alias("n_chars"),
+                       F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("geojson_roundtrip", """
+SELECT year, taxon_id AS cluster_id, count(*) AS n_points, CAST(NULL AS DOUBLE) AS alt_mean, 'Polygon' AS geom_type,
+       min(longitude) AS west, min(latitude) AS south, max(longitude) AS east, max(latitude) AS north
+FROM obs WHERE year IS NOT NULL AND taxon_id IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL GROUP BY year, taxon_id""", ("obs",))
+def q_geojson_roundtrip(spark, sf):
+    from ..session import shared_path
+    from ..sinks.writers import write_feature_collection
+    from ..sources.pieces import read_feature_collection
+    seen = fx.observations(spark, sf).where("year IS NOT NULL AND taxon_id IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL")
+    box = seen.groupBy("year", F.col("taxon_id").alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("n_points"), F.min("longitude").alias("w"), F.min("latitude").alias("s"), F.max("longitude").alias("e"), F.max("latitude").alias("n"))
+    corner = lambda x, y: F.array(F.col(x), F.col(y))
+    ring = F.array(corner("w", "s"), corner("e", "s"), corner("e", "n"), corner("w", "n"), corner("w", "s"))
+    features = box.select("year", "cluster_id", F.lit(0).alias("cluster_local_id"), "n_points", F.lit(None).cast("double").alias("alt_mean"),
+                          F.lit("Polygon").alias("geom_type"), F.to_json(F.array(ring)).alias("coordinates"))
+    path = shared_path(spark, "geojson")
+    write_feature_collection(features, path)
+    back = read_feature_collection(spark, path)
+    at = F.from_json("geometry.coordinates", "array<array<array<double>>>")[0]
+    return back.select("properties.year", "properties.cluster_id", "properties.n_points", "properties.alt_mean", F.col("geometry.type").alias("geom_type"),
+                       at[0][0].alias("west"), at[0][1].alias("south"), at[2][0].alias("east"), at[2][1].alias("north"))
