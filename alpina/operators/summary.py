@@ -75,6 +75,22 @@ def visible_features(features: DataFrame, counts: DataFrame, grade: str | None =
     return features.join(have, ["year", "cluster_id"], "left_semi")
 
 
+def visible_bounds(vertices: DataFrame, features: DataFrame, counts: DataFrame, grade: str | None = None,
+                   x: str = "x", y: str = "y") -> DataFrame:
+    """``(year, west, south, east, north, n_features)`` of the shown layer per year, and of all years (``year`` null).
+
+    ``vertices``: the simplified footprints by ``cluster_id``, in lon/lat for the
+    map. Features without an observation of the grade do not count; a year
+    without a shown feature has no row; if none is shown at all there is no row.
+    """
+    shown = visible_features(features.select("year", "cluster_id").distinct(), counts, grade)
+    return (vertices.select("cluster_id", F.col(x).alias("_x"), F.col(y).alias("_y"))
+                    .groupBy("cluster_id").agg(F.min("_x").alias("w"), F.min("_y").alias("s"), F.max("_x").alias("e"), F.max("_y").alias("n"))
+                    .join(shown, "cluster_id").rollup("year")
+                    .agg(F.min("w").alias("west"), F.min("s").alias("south"), F.max("e").alias("east"), F.max("n").alias("north"),
+                         F.count(F.lit(1)).alias("n_features")))
+
+
 def cluster_style(features: DataFrame) -> DataFrame:
     """Hue, stroke and fill colour per feature."""
     return features.select("year", "cluster_id", cluster_hue("cluster_id").alias("hue"),

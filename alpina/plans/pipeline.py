@@ -41,6 +41,19 @@ def with_altitude(df: DataFrame, alt_scale: float = 1.0, elev: str = "elevation_
     return df.withColumn("z", F.col(elev) / F.lit(float(alt_scale))), [*flat, "z"]
 
 
+def with_z(df: DataFrame, alt_scale: float = 1.0, elev: str = "elevation_m") -> DataFrame:
+    """A4 + P8 inside the plan: column ``z``, the altitude divided by ``alt_scale`` if every row has one, else 0 in all rows.
+
+    The question is a scalar subquery over the altitude column alone, so no job
+    runs before the clustering does. With 0 everywhere distances are those of
+    two dimensions.
+    """
+    if elev not in df.columns:
+        return df.withColumn("z", F.lit(0.0))
+    partial = df.agg(F.coalesce(F.bool_or(F.col(elev).isNull()), F.lit(False)).alias("partial")).scalar()
+    return df.withColumn("z", F.when(partial, F.lit(0.0)).otherwise(F.col(elev) / F.lit(float(alt_scale))))
+
+
 def cluster_observations(obs: DataFrame, taxa: DataFrame, dem_tile: DataFrame, dem_strip: DataFrame,
                          p: PipelineParams) -> DataFrame:
     """Labelled rows: the input columns plus taxa, elevation, year, LV95 and cluster ids."""
@@ -50,7 +63,7 @@ def cluster_observations(obs: DataFrame, taxa: DataFrame, dem_tile: DataFrame, d
     x = quality.with_year(fx.projected(x))
     dims = ["E_lv95", "N_lv95"]
     if p.use_altitude:
-        x, dims = with_altitude(x, p.alt_scale)
+        x, dims = with_z(x, p.alt_scale), [*dims, "z"]
     return dbscan(x, p.eps, p.min_samples, dims=dims)
 
 

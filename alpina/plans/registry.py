@@ -306,6 +306,30 @@ def q_dbscan_3d(spark, sf):
     return _clustered_3d(spark, sf).select("observation_uuid", "cluster_year", "cluster_local_id", "cluster_id")
 
 
+@register("dbscan_scaled_altitude", dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y, elevation_m / CAST(2.5 AS DOUBLE) AS z "
+    "FROM elev WHERE year IS NOT NULL AND elevation_m IS NOT NULL",
+    "SELECT observation_uuid, year AS cluster_year FROM elev WHERE elevation_m IS NOT NULL",
+    EPS, MIN_SAMPLES, True), ("elev",))
+def q_dbscan_scaled_altitude(spark, sf):
+    return _clustered_with_z(quality.filter_elevation(_elevated(spark, sf)))
+
+
+# some rows have no altitude, so it counts for none
+@register("dbscan_partial_altitude", dbscan_sql(
+    "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM elev WHERE year IS NOT NULL AND E_lv95 IS NOT NULL",
+    "SELECT observation_uuid, year AS cluster_year FROM elev", EPS, MIN_SAMPLES, False), ("elev",))
+def q_dbscan_partial_altitude(spark, sf):
+    return _clustered_with_z(_elevated(spark, sf))
+
+
+def _clustered_with_z(elevated):
+    from ..operators.dbscan import dbscan
+    from .pipeline import with_z
+    p = with_z(quality.with_year(fx.projected(elevated)), 2.5)
+    return dbscan(p, EPS, MIN_SAMPLES, dims=["E_lv95", "N_lv95", "z"]).select("observation_uuid", "cluster_year", "cluster_local_id", "cluster_id")
+
+
 @register("cluster_summary", """
 WITH c AS (""" + dbscan_sql(
     "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y, elevation_m / CAST(1.0 AS DOUBLE) AS z "
@@ -410,6 +434,18 @@ def q_visible_features(spark, sf):
     return visible_features(_features(c), taxon_counts(c), "research")
 
 
+# lon/lat of simplified vertices: compared with a plain count in the tests
+@register("visible_bounds")
+def q_visible_bounds(spark, sf):
+    from ..functions.geo import with_wgs84
+    from ..operators.footprint import boundary_arcs, footprint_vertices
+    from ..operators.summary import taxon_counts, visible_bounds
+    from ..session import cut_lineage
+    c = cut_lineage(_clustered_taxa(spark, sf))
+    v = with_wgs84(footprint_vertices(boundary_arcs(c, EPS), EPS), "x", "y", "lon", "lat")
+    return visible_bounds(v, _features(c), taxon_counts(c), "research", "lon", "lat")
+
+
 @register("cluster_style", _summary_sql("""
 SELECT year, cluster_id, CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS INT) AS hue,
        'hsl(' || CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS VARCHAR) || ', 70%, 35%)' AS stroke,

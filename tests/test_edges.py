@@ -12,7 +12,8 @@ from alpina.operators.dbscan import dbscan
 from alpina.operators.elevation import enrich_elevation
 from alpina.operators.neighbours import neighbour_counts
 from alpina.operators.taxa import cached_taxa_for, request_batches, required_taxon_ids, upsert_taxa
-from alpina.plans.pipeline import with_altitude
+from alpina.operators.summary import visible_bounds
+from alpina.plans.pipeline import with_altitude, with_z
 from alpina.sinks.writers import geojson_collection, write_csv
 from alpina.sources.raster import grid_to_strips, require_tiles
 from alpina.sources.tables import read_csv_strings, read_geojson_features, csv_entries, read_manifest, read_taxa_json
@@ -134,6 +135,29 @@ def test_altitude_falls_back_to_two_dimensions(spark):
     assert dims == ["E_lv95", "N_lv95", "z"] and full.first().z == 2.0
 
 
+def test_altitude_counts_for_all_rows_or_none(spark):
+    df = spark.createDataFrame([(1.0, 10.0), (2.0, None), (3.0, 30.0)], "E_lv95 double, elevation_m double")
+    assert [r.z for r in with_z(df, 5.0).orderBy("E_lv95").collect()] == [0.0, 0.0, 0.0]
+    assert [r.z for r in with_z(df.where("elevation_m is not null"), 5.0).orderBy("E_lv95").collect()] == [2.0, 6.0]
+    assert with_z(df.where("false")).count() == 0 and with_z(df.drop("elevation_m")).first().z == 0.0
+    # one null altitude: the points are clustered in two dimensions
+    rows = [(i, 2020, float(i), 0.0, 1000.0 * i) for i in range(4)] + [(9, 2020, 50.0, 0.0, None)]
+    p = with_z(spark.createDataFrame(rows, POINTS + ", elevation_m double"))
+    assert sorted(r.cluster_id for r in dbscan(p, 1.0, 2, dims=["E_lv95", "N_lv95", "z"]).collect()) == [-1, 0, 0, 0, 0]
+    assert {r.cluster_id for r in dbscan(with_z(p.drop("z").where("elevation_m is not null")), 1.0, 2, dims=["E_lv95", "N_lv95", "z"]).collect()} == {-1}
+
+
+def test_bounds_of_the_shown_layer(spark):
+    v = spark.createDataFrame([(1, 6.0, 46.0), (1, 6.5, 46.2), (2, 7.0, 45.0), (2, 7.5, 45.5), (3, 9.0, 47.0), (3, 9.5, 47.5)], "cluster_id int, lon double, lat double")
+    features = spark.createDataFrame([(2020, 1), (2020, 2), (2021, 3), (2022, 4)], "year int, cluster_id int")
+    counts = spark.createDataFrame([("all", y, c, "x", 3) for y, c in ((2020, 1), (2020, 2), (2021, 3))] + [("research", 2020, 1, "x", 1), ("research", 2021, 3, "x", 0)],
+                                   "grade_key string, year int, cluster_id int, label string, n_obs long")
+    got = lambda g: {r[0]: tuple(r)[1:] for r in visible_bounds(v, features, counts, g, "lon", "lat").collect()}
+    assert got(None) == {2020: (6.0, 45.0, 7.5, 46.2, 2), 2021: (9.0, 47.0, 9.5, 47.5, 1), None: (6.0, 45.0, 9.5, 47.5, 3)}
+    assert got("research") == {2020: (6.0, 46.0, 6.5, 46.2, 1), None: (6.0, 46.0, 6.5, 46.2, 1)}
+    assert got("casual") == {}
+
+
 def test_errors_name_what_is_missing(spark):
     with pytest.raises(ValueError, match="positional_accuracy"):
         quality.filter_position(spark.range(1))
