@@ -305,15 +305,23 @@ class Extractor:
         return [[block_text(t, content[s:s + len(t.parents)]) for t, s in zip(trees, f.starts)]]
 
 
-def content_model(pages: DataFrame, most: int = MAX_PAGES, max_chars: int = MAX_CHARS) -> Model:
-    """Train on at most ``most`` pages, those with the smallest hash of page number and URL."""
+def training_pages(pages: DataFrame, most: int = MAX_PAGES, max_chars: int = MAX_CHARS) -> list[str]:
+    """The texts of at most ``most`` pages, those with the smallest hash of page number and URL, in its order.
+
+    A page counts once, however many rows it has; of differing rows the smallest text is taken.
+    """
     h = F.xxhash64("page_id", "url")
-    able = pages.where(F.length("html").between(1, max_chars))
-    last = [r[0] for r in able.select(h.alias("h")).orderBy("h").limit(most).collect()]
+    able = pages.where(F.length("html").between(1, max_chars)).select(h.alias("h"), F.col("html").cast("string").alias("html"))
+    last = [r["h"] for r in able.select("h").distinct().orderBy("h").limit(most).collect()]
     if not last:
-        return train([])
-    rows = able.where(h <= max(last)).select(h.alias("h"), "html").limit(most).collect()
-    return train([r["html"] for r in sorted(rows)])
+        return []
+    rows = able.where(F.col("h") <= max(last)).groupBy("h").agg(F.min("html").alias("html")).collect()
+    return [r["html"] for r in sorted(rows)]
+
+
+def content_model(pages: DataFrame, most: int = MAX_PAGES, max_chars: int = MAX_CHARS) -> Model:
+    """Train on :func:`training_pages`."""
+    return train(training_pages(pages, most, max_chars))
 
 
 def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:

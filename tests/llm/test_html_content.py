@@ -55,3 +55,15 @@ def test_edges(spark):
     assert len(got) == 6 and all(r.text is not None and r.n_chars == len(r.text) for r in got)
     assert [r.text for r in got if r.page_id in (1, 2)] == ["", ""]
     assert H.main_text(df.limit(0)).count() == 0
+
+
+def test_repeated_pages_fill_no_sample(spark):
+    schema = "page_id long, url string, html string"
+    once = [(i, f"http://h/{i}", f"<p>page {i}</p>") for i in range(30)] + [(None, None, "<p>no id</p>"), (40, "u", None), (41, "u", "")]
+    plain = H.training_pages(spark.createDataFrame(once, schema), most=12)
+    assert len(plain) == 12
+    for row in once[:31]:
+        many = spark.createDataFrame(once + [row] * 50, schema).repartition(5) if row[0] in (None, 0, 7) else None
+        if many is not None:
+            assert H.training_pages(many, most=12) == plain
+    assert H.training_pages(spark.createDataFrame([], schema)) == []
