@@ -33,41 +33,42 @@ def _count(text: Column, char: str) -> Column:
 # --- CSV with quoted line feeds (S1, S2) ------------------------------------------------------
 
 def csv_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
-    """``file, first, value``: the records of CSV files whose quoted fields may hold line feeds.
+    """``first, value``: the records of CSV files whose quoted fields may hold line feeds.
 
     ``first`` marks a file's first record. Quotes inside a field are doubled, so a
     line feed ends a record where an even number of quotes stands before it.
     Byte ranges in which no line has an odd number need no order and no
-    shuffle. A quote that is never closed makes one record of the rest of its
-    file; blank lines are no records.
+    shuffle; the lines of the others are shuffled once, by range, and only
+    records that cross ranges a second time. A quote that is never closed makes
+    one record of the rest of its file; blank lines are no records.
     """
     lines = text_pieces(spark, path, "\n").withColumn("odd", _count(F.col("value"), quote) % 2)
     by_file = Window.partitionBy("file").orderBy("block")
     earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (lines.groupBy(*BLOCK).agg(F.sum("odd").alias("n_odd"), F.min("id").alias("min_id"), F.max(F.when(F.col("odd") == 1, F.col("id"))).alias("last_odd"))
+    # a range is named by the number of its first line
+    blocks = (lines.groupBy(*BLOCK).agg(F.sum("odd").alias("n_odd"), F.min("id").alias("part"), F.max(F.when(F.col("odd") == 1, F.col("id"))).alias("last_odd"))
                    .withColumns({"before": F.coalesce(F.sum("n_odd").over(earlier), F.lit(0)) % 2,
-                                 "opened": F.last(F.when(F.col("n_odd") > 0, F.col("block")), ignorenulls=True).over(earlier),
-                                 "head": F.when(F.row_number().over(by_file) == 1, F.col("min_id"))}).drop("min_id"))
-    blocks = store(blocks, "csv-blocks")
-    placed = lines.join(blocks, BLOCK).drop("size")
-
-    in_block = Window.partitionBy(*BLOCK).orderBy("id")
-    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    noisy = placed.where("n_odd > 0")
-    noisy = noisy.withColumn("start", (F.col("before") + F.sum("odd").over(upto) - F.col("odd")) % 2 == 0)
-    noisy = noisy.withColumn("since", F.max(F.when(F.col("start"), F.col("id"))).over(upto))
-    quiet = placed.where("n_odd = 0").withColumn("start", F.col("before") == 0).withColumn("since", F.when(F.col("start"), F.col("id")))
-    marked = noisy.unionByName(quiet)
-    whole = marked.where("start AND odd = 0").select("file", (F.col("id") == F.coalesce("head", F.lit(-1))).alias("first"), "value")
+                                 "opened": F.last(F.when(F.col("n_odd") > 0, F.col("part")), ignorenulls=True).over(earlier),
+                                 "head": F.row_number().over(by_file) == 1}))
+    placed = lines.join(store(blocks, "csv-blocks"), BLOCK)
     # a record that goes on in later ranges is named by the range that opened it
     leaves = ((F.col("before") + F.col("n_odd")) % 2 == 1) & (F.col("id") >= F.col("last_odd"))
-    named = marked.where("NOT (start AND odd = 0)").select(
-        "file", "block", "id", "value", (F.col("id") == F.coalesce("head", F.lit(-1))).alias("first"),
-        F.when(F.col("since").isNull(), F.col("opened")).otherwise(F.col("block")).alias("of"),
-        F.when(F.col("since").isNull() | leaves, F.lit(-1)).otherwise(F.col("since")).alias("since"))
-    parts = F.sort_array(F.collect_list(F.struct("block", "id", "value")))
-    joined = named.groupBy("file", "of", "since").agg(F.max("first").alias("first"), F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
-    both = whole.unionByName(joined.select("file", "first", "value"))
+    placed = placed.select("part", "block", "id", "value", "odd", "n_odd", "before", "opened",
+                           (F.col("head") & (F.col("id") == F.col("part"))).alias("first"), F.coalesce(leaves, F.lit(False)).alias("leaves"))
+
+    upto = Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    noisy = placed.where("n_odd > 0").drop("n_odd")
+    start = (F.col("before") + F.sum("odd").over(upto) - F.col("odd")) % 2 == 0
+    noisy = noisy.withColumn("start", start).withColumn("since", F.max(F.when(F.col("start"), F.col("id"))).over(upto))
+    named = noisy.withColumns({"of": F.when(F.col("since").isNull(), F.col("opened")).otherwise(F.col("part")),
+                               "since": F.when(F.col("since").isNull() | F.col("leaves"), F.lit(-1)).otherwise(F.col("since"))})
+    text = lambda *order: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "value"))), lambda p: p["value"]), "\n")
+    stretch = named.groupBy("part", "block", "of", "since").agg(F.max("first").alias("first"), F.min("id").alias("id"), text("id").alias("value"))
+    quiet = placed.where("n_odd = 0")
+    across = stretch.where("since < 0").select("of", "block", "id", "first", "value").unionByName(
+        quiet.where("before = 1").select(F.col("opened").alias("of"), "block", "id", "first", "value"))
+    joined = across.groupBy("of").agg(F.max("first").alias("first"), text("block", "id").alias("value")).select("first", "value")
+    both = stretch.where("since >= 0").select("first", "value").unionByName(joined).unionByName(quiet.where("before = 0").select("first", "value"))
     return both.withColumn("value", F.regexp_replace("value", "\r$", "")).where(F.length("value") > 0)
 
 
