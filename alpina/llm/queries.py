@@ -104,6 +104,21 @@ def op7_template_lines(spark, sf_dir):
     return d.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_dropped")
 
 
+def _template_level_sql(k: int, last: bool) -> str:
+    """The constants of every node of level ``k``, the lines alike, and the lines of the next level."""
+    sql = f"""
+node{k} AS (SELECT node, sum(docs) AS node_docs FROM o{k} GROUP BY node HAVING sum(docs) >= 10 AND count(*) > 1),
+tok{k} AS (SELECT line, n, node, docs, node_docs, unnest(range(1, n + 1)) AS p, unnest(w) AS token FROM o{k} JOIN node{k} USING (node)),
+wt{k} AS (SELECT node, p, token, sum(docs) AS weight, sum(docs) * 2 > node_docs AS con FROM tok{k} GROUP BY node, p, token, node_docs),
+like{k} AS (SELECT line, node, docs FROM tok{k} JOIN wt{k} USING (node, p, token) WHERE con GROUP BY line, n, node, docs HAVING count(*) >= n * 0.6),
+alike{k} AS (SELECT line, node FROM like{k} JOIN (SELECT node FROM like{k} GROUP BY node HAVING sum(docs) >= 10) USING (node)),"""
+    return sql if last else sql + f"""
+at{k} AS (SELECT node, arg_min(p, (-weight, p)) AS p FROM wt{k} WHERE weight >= 10 AND NOT con GROUP BY node),
+o{k + 1} AS (SELECT line, w, n, docs, o{k}.node || '/' || at{k}.p || '=' || coalesce(wt{k}.token, '') AS node
+       FROM o{k} JOIN at{k} USING (node) LEFT JOIN wt{k} ON wt{k}.node = o{k}.node AND wt{k}.p = at{k}.p AND wt{k}.token = w[at{k}.p] AND weight >= 10
+       WHERE NOT EXISTS (SELECT 1 FROM alike{k} a WHERE a.line = o{k}.line)),"""
+
+
 QUERIES["op7_template_lines"] = op7_template_lines
 ORACLE["op7_template_lines"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
@@ -113,12 +128,10 @@ l AS (SELECT rid, i, string_split(coalesce(text, ''), chr(10))[i] AS raw,
       FROM (SELECT rid, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM d)),
 t AS (SELECT *, string_split(line, ' ') AS w FROM l),
 u AS (SELECT line, len(w) AS n, array_to_string(w[1:2], ' ') AS lead, w, count(DISTINCT rid) AS docs FROM t WHERE line <> '' GROUP BY ALL),
-leaf AS (SELECT n, lead, sum(docs) AS leaf_docs FROM u WHERE n >= 4 GROUP BY n, lead HAVING sum(docs) >= 10 AND count(*) > 1),
-o AS (SELECT u.*, leaf_docs FROM u JOIN leaf USING (n, lead)),
-tok AS (SELECT line, n, lead, docs, leaf_docs, unnest(range(1, n + 1)) AS p, unnest(w) AS token FROM o),
-con AS (SELECT n, lead, p, token FROM tok GROUP BY n, lead, p, token, leaf_docs HAVING sum(docs) * 2 > leaf_docs),
-alike AS (SELECT line, n, lead, docs FROM tok JOIN con USING (n, lead, p, token) GROUP BY line, n, lead, docs HAVING count(*) >= n * 0.6),
-general AS (SELECT line FROM alike JOIN (SELECT n, lead FROM alike GROUP BY n, lead HAVING sum(docs) >= 10) USING (n, lead)),
+o0 AS (SELECT line, w, n, docs, n || ':' || lead AS node FROM u WHERE n >= 4),
+""" + "".join(_template_level_sql(k, k == template_lines.LEVELS) for k in range(template_lines.LEVELS + 1)) + r"""
+alike AS (""" + " UNION ALL ".join(f"SELECT line, node FROM alike{k}" for k in range(template_lines.LEVELS + 1)) + r"""),
+general AS (SELECT line FROM alike JOIN (SELECT node FROM alike JOIN t USING (line) GROUP BY node HAVING count(DISTINCT rid) >= 10) USING (node)),
 bad AS (SELECT line FROM u WHERE docs >= 10 UNION SELECT line FROM general),
 r AS (SELECT rid, i, raw, line IN (SELECT line FROM bad) AS gone FROM t)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(g.kept, '') END AS text,

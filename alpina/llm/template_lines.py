@@ -6,17 +6,22 @@ first ``DEPTH`` tokens. Its leaves are (count, leading tokens).
 
 1. Lines are counted once per document. A template - the masked line - found in
    ``min_docs`` documents recurs. Only hashes and leaf keys are shuffled.
-2. In leaves that ``min_docs`` documents reach with several templates, the
+2. In nodes that ``min_docs`` documents reach with several templates, the
    fields without digits are generalised: a position is constant if one token
-   has more than half of the leaf's lines there, else ``<*>``. Lines of the
-   leaf that agree with the constants in ``similarity`` of all positions
-   belong to the general template; if they come from ``min_docs`` documents
-   together, they recur as well.
+   has more than half of the node's lines there, else ``<*>``. Lines that agree
+   with the constants in ``similarity`` of all positions belong to the general
+   template; if they come from ``min_docs`` different documents, they recur as
+   well. Lines of no template go down ``LEVELS`` further levels: a node splits
+   at the position of its commonest token that is no constant, one child for each
+   token of ``min_docs`` lines there and one for all others. So several
+   templates of one leaf, and templates among prose, are found apart.
 3. Lines of recurring templates are dropped, wherever they stand. Only
    generalising needs ``min_tokens`` tokens: a shorter line recurs as itself.
 
-A hot line is one row per task after partial aggregation; general templates
-are counted over distinct lines, so copies add weight and no rows.
+A hot line is one row per task after partial aggregation; nodes are split
+over distinct lines, so copies add weight and no rows. Only lines of fewer than
+``min_docs`` documents are looked up again to count a general template's
+documents: a commoner line has enough by itself.
 
 Defined results: a null or empty text has one empty line and stays as it is
 (null stays null); blank lines are kept; a document is (``doc_id``, text hash),
@@ -33,6 +38,7 @@ from pyspark.sql import functions as F
 from .common import packed, store, text_or_empty
 
 DEPTH = 2
+LEVELS = 2
 MIN_DOCS = 10
 MIN_TOKENS = 4
 SIMILARITY = 0.6
@@ -64,38 +70,77 @@ def line_table(rows: DataFrame) -> DataFrame:
     return store(lines.select("k1", "k2", "no", *_described(F.col("line"))), "line-table")
 
 
-def recurring_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
+def recurring_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY, levels: int = LEVELS) -> DataFrame:
     """``h1, h2`` of every masked line that recurs, as itself or under a general template."""
     once = lines.where(F.col("h1") != F.xxhash64(F.lit(""))).select("k1", "k2", "h1", "h2", "leaf", "n").distinct()  # all but blank lines
     counted = store(once.groupBy("h1", "h2", "leaf", "n").agg(F.count(F.lit(1)).alias("docs")), "line-templates")
     exact = counted.where(F.col("docs") >= min_docs).select("h1", "h2")
 
-    leaves = counted.where(F.col("n") >= min_tokens).groupBy("leaf", "n").agg(F.sum("docs").alias("leaf_docs"), F.count(F.lit(1)).alias("templates"))
-    leaves = store(leaves.where((F.col("leaf_docs") >= min_docs) & (F.col("templates") > 1)).select("leaf", "leaf_docs"), "line-leaves")
+    nodes = _open_nodes(counted.where(F.col("n") >= min_tokens).withColumnRenamed("leaf", "node"), min_docs, "line-leaves")
     # the texts of the distinct lines in those leaves, with their counts
     texts = docs.select(F.explode(masked_lines(text_or_empty("text"))).alias("line")).select("line", *_described(F.col("line")))
-    open_lines = texts.join(leaves, "leaf", "left_semi").select("line", "h1", "h2").distinct().join(counted, ["h1", "h2"])
-    open_lines = store(open_lines, "line-open")
-    tokens = open_lines.select("leaf", "docs", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    weight = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("docs")).join(leaves, "leaf")
-    constant = weight.where(F.col("docs") * 2 > F.col("leaf_docs")).select("leaf", "pos", "token")
-    # a leaf whose constants are too few for any of its lines gives no general template
-    constant = store(constant, "line-constants")
-    sizes = constant.groupBy("leaf").agg(F.count(F.lit(1)).alias("constants"))
-    able = open_lines.join(sizes, "leaf").where(F.col("constants") >= F.col("n") * F.lit(similarity))
-    same = able.select("leaf", "n", "h1", "h2", "docs", F.posexplode(F.split("line", " ")).alias("pos", "token")).join(constant, ["leaf", "pos", "token"])
-    like = same.groupBy("leaf", "n", "h1", "h2", "docs").agg(F.count(F.lit(1)).alias("equal")).where(F.col("equal") >= F.col("n") * F.lit(similarity))
-    like = store(like.select("leaf", "h1", "h2", "docs"), "line-like")
-    wide = like.groupBy("leaf").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
-    general = like.join(wide, "leaf", "left_semi").select("h1", "h2")
-    return exact.unionByName(general).distinct()
-
-
-def drop_template_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
+    texts = texts.join(nodes.select(F.col("node").alias("leaf")), "leaf", "left_semi").select("line", "h1", "h2").distinct()
+    open_lines = store(texts.join(counted.withColumnRenamed("leaf", "node"), ["h1", "h2"]), "line-open")
+    found = None
+    for level in range(levels + 1):
+        weight = _token_weights(open_lines, nodes, min_docs)
+        alike = _alike(open_lines, weight, min_docs, similarity)
+        found = alike if found is None else found.unionByName(alike)
+        if level < levels:
+            open_lines = _split(open_lines, weight, alike, min_docs)
+            nodes = _open_nodes(open_lines, min_docs, "line-nodes")
+            open_lines = open_lines.join(nodes, "node", "left_semi")
+    # a template's documents are counted once each, however many of its lines they have
+    rare = found.where(F.col("docs") < min_docs).select("node", "h1", "h2")
+    reached = lines.select("k1", "k2", "h1", "h2").join(rare, ["h1", "h2"]).select("node", "k1", "k2").distinct()
+    wide = reached.groupBy("node").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("node")
+    wide = wide.unionByName(found.where(F.col("docs") >= min_docs).select("node"))
+    return exact.unionByName(found.join(wide, "node", "left_semi").select("h1", "h2")).distinct()
+
+
+def _open_nodes(lines: DataFrame, min_docs: int, tag: str) -> DataFrame:
+    """``node, node_docs`` where several templates have ``min_docs`` documents between them."""
+    nodes = lines.groupBy("node").agg(F.sum("docs").alias("node_docs"), F.count(F.lit(1)).alias("templates"))
+    return store(nodes.where((F.col("node_docs") >= min_docs) & (F.col("templates") > 1)).select("node", "node_docs"), tag)
+
+
+def _token_weights(lines: DataFrame, nodes: DataFrame, min_docs: int) -> DataFrame:
+    """Stored ``node, pos, token, weight, constant`` of the tokens that are constants or can split a node."""
+    tokens = lines.select("node", "docs", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+    weight = tokens.groupBy("node", "pos", "token").agg(F.sum("docs").alias("weight")).join(nodes, "node")
+    weight = weight.withColumn("constant", F.col("weight") * 2 > F.col("node_docs")).drop("node_docs")
+    return store(weight.where(F.col("constant") | (F.col("weight") >= min_docs)), "line-tokens")
+
+
+def _alike(lines: DataFrame, weight: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """Stored ``node, h1, h2, docs`` of the lines that agree with their node's constants, where there may be enough."""
+    constant = weight.where("constant").select("node", "pos", "token")
+    # a node whose constants are too few for any of its lines gives no general template
+    sizes = constant.groupBy("node").agg(F.count(F.lit(1)).alias("constants"))
+    able = lines.join(sizes, "node").where(F.col("constants") >= F.col("n") * F.lit(similarity))
+    same = able.select("node", "n", "h1", "h2", "docs", F.posexplode(F.split("line", " ")).alias("pos", "token")).join(constant, ["node", "pos", "token"])
+    like = same.groupBy("node", "n", "h1", "h2", "docs").agg(F.count(F.lit(1)).alias("equal")).where(F.col("equal") >= F.col("n") * F.lit(similarity))
+    like = store(like.select("node", "h1", "h2", "docs"), "line-like")
+    enough = like.groupBy("node").agg(F.sum("docs").alias("all")).where(F.col("all") >= min_docs)
+    return like.join(enough, "node", "left_semi")
+
+
+def _split(lines: DataFrame, weight: DataFrame, alike: DataFrame, min_docs: int) -> DataFrame:
+    """The lines of no template, each in the child of its node that has its token at the position split."""
+    own = weight.where(~F.col("constant") & (F.col("weight") >= min_docs))
+    at = own.groupBy("node").agg(F.min_by("pos", F.struct(-F.col("weight"), "pos")).alias("pos"))
+    known = own.join(at, ["node", "pos"]).select("node", "pos", "token", F.lit(True).alias("known"))
+    rest = lines.join(alike, ["node", "h1", "h2"], "left_anti").join(at, "node")
+    rest = rest.withColumn("token", F.split("line", " ")[F.col("pos")]).join(known, ["node", "pos", "token"], "left")
+    child = F.xxhash64("node", "pos", F.when(F.col("known"), F.col("token")).otherwise(F.lit("")))
+    return store(rest.select("line", "h1", "h2", "n", "docs", child.alias("node")), "line-split")
+
+
+def drop_template_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY, levels: int = LEVELS) -> DataFrame:
     """``row`` (the input row), ``text`` without its recurring lines, ``n_lines`` and ``n_dropped``."""
     rows = packed(docs).select("row", *_row_key())
     lines = line_table(rows)
-    recurring = store(recurring_templates(docs, lines, min_docs, min_tokens, similarity), "line-recurring")
+    recurring = store(recurring_templates(docs, lines, min_docs, min_tokens, similarity, levels), "line-recurring")
     found = lines.select("k1", "k2", "no", "h1", "h2").join(recurring, ["h1", "h2"], "left_semi")
     dropped = found.groupBy("k1", "k2").agg(F.collect_set("no").alias("numbers"))
     dropped = store(dropped, "line-dropped")

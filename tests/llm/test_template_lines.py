@@ -26,3 +26,17 @@ def test_recurring_lines_go_and_prose_stays(spark):
 
 def test_empty(spark):
     assert L.drop_template_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_templates_of_one_leaf_are_found_among_prose(spark):
+    names = "amy bob cat dan eve fay gus hal ida jon kim lee".split()
+    rows = [(i, f"shared by {m} with all friends today\nshared by {m} under some other terms") for i, m in enumerate(names)]
+    # prose of the same leaf outweighs both templates; no two lines have more than their first words and one other in common
+    prose = [f"shared by a{chr(97 + i)} b{chr(97 + i)} c{chr(97 + i)} d{chr(97 + i)} {'now' if i % 2 else 'e' + chr(97 + i)}" for i in range(26)]
+    rows += [(100 + i, t) for i, t in enumerate(prose)]
+    # ten like lines in one document recur in no other
+    rows += [(200, "\n".join(f"listed as {m} in this one table" for m in names))]
+    got = {r.row.doc_id: (r.text, r.n_dropped) for r in L.drop_template_lines(spark.createDataFrame([(*r, 1, "l", 2) for r in rows], SCHEMA)).collect()}
+    assert all(got[i] == ("", 2) for i in range(12))
+    assert all(got[100 + i] == (t, 0) for i, t in enumerate(prose))
+    assert got[200][1] == 0
