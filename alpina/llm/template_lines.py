@@ -19,9 +19,9 @@ first ``DEPTH`` tokens. Its leaves are (count, leading tokens).
    generalising needs ``min_tokens`` tokens: a shorter line recurs as itself.
 
 A hot line is one row per task after partial aggregation; nodes are split
-over distinct lines, so copies add weight and no rows. Only lines of fewer than
-``min_docs`` documents are looked up again to count a general template's
-documents: a commoner line has enough by itself.
+over distinct lines, so copies add weight and no rows. A general template's
+documents are counted over its lines that do not recur by themselves: one that
+does has enough alone.
 
 Defined results: a null or empty text has one empty line and stays as it is
 (null stays null); blank lines are kept; a document is (``doc_id``, text hash),
@@ -70,8 +70,8 @@ def line_table(rows: DataFrame) -> DataFrame:
     return store(lines.select("k1", "k2", "no", *_described(F.col("line"))), "line-table")
 
 
-def recurring_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY, levels: int = LEVELS) -> DataFrame:
-    """``h1, h2`` of every masked line that recurs, as itself or under a general template."""
+def marked_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY, levels: int = LEVELS) -> DataFrame:
+    """``h1, h2, sure, node`` of the masked lines that recur as themselves (``sure``) or may under the general template of ``node``."""
     once = lines.where(F.col("h1") != F.xxhash64(F.lit(""))).select("k1", "k2", "h1", "h2", "leaf", "n").distinct()  # all but blank lines
     counted = store(once.groupBy("h1", "h2", "leaf", "n").agg(F.count(F.lit(1)).alias("docs")), "line-templates")
     exact = counted.where(F.col("docs") >= min_docs).select("h1", "h2")
@@ -90,12 +90,23 @@ def recurring_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_D
             open_lines = _split(open_lines, weight, alike, min_docs)
             nodes = _open_nodes(open_lines, min_docs, "line-nodes")
             open_lines = open_lines.join(nodes, "node", "left_semi")
-    # a template's documents are counted once each, however many of its lines they have
-    rare = found.where(F.col("docs") < min_docs).select("node", "h1", "h2")
-    reached = lines.select("k1", "k2", "h1", "h2").join(rare, ["h1", "h2"]).select("node", "k1", "k2").distinct()
-    wide = reached.groupBy("node").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("node")
-    wide = wide.unionByName(found.where(F.col("docs") >= min_docs).select("node"))
-    return exact.unionByName(found.join(wide, "node", "left_semi").select("h1", "h2")).distinct()
+    marks = exact.select("h1", "h2", F.lit(True).alias("sure"), F.lit(None).cast("long").alias("node"))
+    marks = marks.unionByName(found.select("h1", "h2", F.lit(False).alias("sure"), "node"))
+    return marks.groupBy("h1", "h2").agg(F.max("sure").alias("sure"), F.max("node").alias("node"))
+
+
+def recurring_lines(lines: DataFrame, marks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``k1, k2, no`` of every line that recurs, as itself or under a general template.
+
+    A general template's documents are counted once each, however many of its
+    lines they have, and only over lines that do not recur by themselves.
+    """
+    marks = store(marks, "line-marks")
+    hits = store(lines.select("k1", "k2", "no", "h1", "h2").join(marks, ["h1", "h2"]).drop("h1", "h2"), "line-hits")
+    reached = hits.where(~F.col("sure")).select("node", "k1", "k2").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("docs"))
+    wide = reached.where(F.col("docs") >= min_docs).select("node").unionByName(marks.where("sure").select("node"))
+    general = hits.where(~F.col("sure")).join(wide, "node", "left_semi")
+    return hits.where("sure").unionByName(general.select(*hits.columns)).select("k1", "k2", "no")
 
 
 def _open_nodes(lines: DataFrame, min_docs: int, tag: str) -> DataFrame:
@@ -140,8 +151,8 @@ def drop_template_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: i
     """``row`` (the input row), ``text`` without its recurring lines, ``n_lines`` and ``n_dropped``."""
     rows = packed(docs).select("row", *_row_key())
     lines = line_table(rows)
-    recurring = store(recurring_templates(docs, lines, min_docs, min_tokens, similarity, levels), "line-recurring")
-    found = lines.select("k1", "k2", "no", "h1", "h2").join(recurring, ["h1", "h2"], "left_semi")
+    marks = marked_templates(docs, lines, min_docs, min_tokens, similarity, levels)
+    found = recurring_lines(lines, marks, min_docs)
     dropped = found.groupBy("k1", "k2").agg(F.collect_set("no").alias("numbers"))
     dropped = store(dropped, "line-dropped")
     out = rows.join(dropped, ["k1", "k2"], "left")
