@@ -47,16 +47,22 @@ def tokens(path, lower: bool = False) -> Column:
     return F.filter(F.split(s, "_"), lambda t: t != "")
 
 
-def _after(arr: Column, marker: str) -> Column:
-    """Elements after the first ``marker`` (empty when absent)."""
-    i = F.array_position(arr, marker)
-    return F.when(i > 0, F.slice(arr, (i + 1).cast("int"), F.greatest(F.size(arr) - i, F.lit(0)).cast("int"))) \
-            .otherwise(F.array().cast("array<string>"))
+def _tail(parts: Column, at: Column) -> Column:
+    """Elements behind position ``at`` (1-based; 0 gives all)."""
+    return F.slice(parts, (at + 1).cast("int"), F.greatest(F.size(parts) - at, F.lit(0)).cast("int"))
 
 
-def _before(arr: Column, marker: str) -> Column:
-    i = F.array_position(arr, marker)
-    return F.when(i > 1, F.slice(arr, 1, (i - 1).cast("int"))).otherwise(F.array().cast("array<string>"))
+def _sections(parts: Column) -> tuple[Column, Column]:
+    """(filters, enrichments): the slices that start behind the first ``filtered`` and the first ``enriched`` after it.
+
+    A marker that is absent gives an empty slice; without ``filtered`` the first ``enriched`` counts.
+    """
+    none = F.array().cast("array<string>")
+    at_f = F.array_position(parts, FILTERED)
+    beyond = _tail(parts, at_f)
+    at_e = F.array_position(beyond, ENRICHED)
+    until = F.when(at_e > 0, at_e - 1).otherwise(F.size(beyond)).cast("int")
+    return F.when(at_f > 0, F.slice(beyond, 1, until)).otherwise(none), F.when(at_e > 0, _tail(beyond, at_e)).otherwise(none)
 
 
 def selection_tags(path) -> tuple[Column, Column]:
@@ -65,15 +71,7 @@ def selection_tags(path) -> tuple[Column, Column]:
     Lower-cased tokens after the first ``filtered`` up to ``enriched``; if no
     ``filtered`` appears, everything after the first ``enriched``.
     """
-    parts = tokens(path, lower=True)
-    after_f = _after(parts, FILTERED)
-    has_f = F.array_contains(parts, FILTERED)
-    has_e_after = F.array_contains(after_f, ENRICHED)
-    filters = F.when(has_f, F.when(has_e_after, _before(after_f, ENRICHED)).otherwise(after_f)) \
-               .otherwise(F.array().cast("array<string>"))
-    enrich = F.when(has_f, F.when(has_e_after, _after(after_f, ENRICHED)).otherwise(F.array().cast("array<string>"))) \
-              .otherwise(_after(parts, ENRICHED))
-    return filters, enrich
+    return _sections(tokens(path, lower=True))
 
 
 def section_tags(path) -> Column:
@@ -131,12 +129,8 @@ def name_with_tags(path, kind: str, tags: list[str], default_ext: str = ".csv")
 def abbreviated_name(path) -> Column:
     """``<first token>_clusters[_filtered_<initials>][_enriched_<initials>].csv``."""
     parts = tokens(path)
-    after_f = _after(parts, FILTERED)
-    has_f = F.array_contains(parts, FILTERED)
-    has_e_after = F.array_contains(after_f, ENRICHED)
+    filters, enrich = _sections(parts)
     empty = F.array().cast("array<string>")
-    filters = F.when(has_f, F.when(has_e_after, _before(after_f, ENRICHED)).otherwise(after_f)).otherwise(empty)
-    enrich = F.when(has_f, F.when(has_e_after, _after(after_f, ENRICHED)).otherwise(empty)).otherwise(_after(parts, ENRICHED))
     initials = lambda a: F.transform(a, lambda s: F.lower(F.substring(s, 1, 1)))
     fa, ea = initials(filters), initials(enrich)
     first = F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit(DEFAULT_PREFIX))
@@ -152,13 +146,11 @@ def decode_abbreviated(path) -> Column:
     folder = F.when(F.size(segs) > 1, F.array_join(F.slice(segs, 1, (F.size(segs) - 1).cast("int")), "/")).otherwise(F.lit(""))
     base = F.regexp_replace(F.element_at(segs, -1), r"(?i)\.csv$", "")
     parts = F.filter(F.split(base, "_"), lambda t: t != "")
-    tail = _after(parts, CLUSTERS)
-    after_f = _after(tail, FILTERED)
-    has_f = F.array_contains(tail, FILTERED)
-    empty = F.array().cast("array<string>")
-    filters = F.when(has_f, F.when(F.array_contains(after_f, ENRICHED), _before(after_f, ENRICHED)).otherwise(after_f)).otherwise(empty)
-    enrich0 = F.when(has_f & F.array_contains(after_f, ENRICHED), _after(after_f, ENRICHED)).otherwise(empty)
-    enrich = F.when((F.size(enrich0) == 0) & F.array_contains(tail, ENRICHED), _after(tail, ENRICHED)).otherwise(enrich0)
+    at = F.array_position(parts, CLUSTERS)
+    tags = F.when(at > 0, _tail(parts, at)).otherwise(F.array().cast("array<string>"))
+    filters, enrich = _sections(tags)
+    first = F.array_position(tags, ENRICHED)  # one before the filters counts if none with tags follows them
+    enrich = F.when((F.size(enrich) == 0) & (first > 0), _tail(tags, first)).otherwise(enrich)
     return F.struct(folder.alias("folder"), filters.alias("filters"), enrich.alias("enrichments"))
 
 

@@ -3,10 +3,11 @@
 point -> LV95 -> tile key -> header lookup (geotransform) -> pixel (px, py)
 -> equi-join on ``(tile_key, py)`` with ``dem_strip`` -> ``vals[px]``.
 Missing tile, out-of-bounds pixel, nodata or unparseable coordinates give
-null; values are rounded half-even to 3 decimals. Only strips that a point needs
-are joined (a semi-join on the distinct pairs), and points without a pixel pass
-by the strip join, so their null keys meet in no task. Spark's size threshold
-and AQE choose the join strategies.
+null; values are rounded half-even to 3 decimals. The points are evaluated once:
+those without a pixel get salted keys that no strip has, so they spread over the
+tasks of the strip join. Strips stored by ``sources.raster.store_strips`` are
+bucketed and sorted by the join's keys and need no exchange there. Spark's size
+threshold and AQE choose the join strategies.
 """
 
 from __future__ import annotations
@@ -43,18 +44,25 @@ def enrich_elevation(obs: DataFrame, dem_tile: DataFrame, dem_strip: DataFrame,
     inb = (px >= 0) & (px < F.col("_nc")) & (py >= 0) & (py < F.col("_nr"))
     j = j.withColumn("_px", F.when(inb, px)).withColumn("_py", F.when(inb, py))
     inside = F.col("_py").isNotNull() & F.col("_tk").isNotNull()
-    hits, others = j.where(inside), j.where(~F.coalesce(inside, F.lit(False)))
-    strips = dem_strip.select(F.col("tile_key").alias("_tk"), F.col("py").alias("_py"), F.col("vals").alias("_vals"))
-    strips = strips.join(hits.select("_tk", "_py").distinct(), ["_tk", "_py"], "left_semi")
-    hits = hits.join(strips, ["_tk", "_py"], "left")
+    salt = (-1 - F.pmod(F.xxhash64(*_hashable(pts)), F.lit(1_000_000))).cast("int")
+    # the key types are the strips' own: a cast on their side would cost the bucketing
+    kind = dem_strip.schema["py"].dataType
+    j = j.withColumn("_sk", F.when(inside, F.col("_tk")).otherwise(F.lit(""))).withColumn("_sp", F.when(inside, F.col("_py")).otherwise(salt).cast(kind))
+    strips = dem_strip.select(F.col("tile_key").alias("_sk"), F.col("py").alias("_sp"), F.col("vals").alias("_vals"))
+    j = j.join(strips, ["_sk", "_sp"], "left")
     # strips hold floats: the nodata value is compared as one
     v = F.try_element_at(F.col("_vals"), F.col("_px") + 1)
     elev = F.when(v.isNotNull() & (F.col("_nd").isNull() | (v != F.col("_nd").cast("float"))), F.bround(v.cast("double"), 3))
-    j = hits.withColumn(out, elev).drop("_vals").unionByName(others.withColumn(out, F.lit(None).cast("double")))
+    j = j.withColumn(out, elev)
     order = cols if out in cols else cols + [out]
     return j.select(*order)
 
 
+def _hashable(df: DataFrame) -> list:
+    """Columns that Spark can hash (maps and variants have no hash)."""
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+
+
 def elevation_coverage(obs: DataFrame, dem_tile: DataFrame, lon: str | None = None,
                        lat: str | None = None) -> DataFrame:
     """A3: points per needed tile and whether the tile is available."""

@@ -144,6 +144,17 @@ def q_enrich_elevation(spark, sf):
     return _elevated(spark, sf).select("observation_uuid", "elevation_m")
 
 
+@register("enrich_elevation_bucketed", "SELECT observation_uuid, elevation_m FROM elev", ("elev",))
+def q_enrich_elevation_bucketed(spark, sf):
+    from ..operators.elevation import enrich_elevation
+    from ..session import shared_path
+    from ..sources.raster import store_strips
+    tiles, strips = fx.dem_tables(spark, sf)
+    path = shared_path(spark, "dem-strips")
+    table = store_strips(strips, path.rsplit("/", 1)[-1].replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions")), path)
+    return enrich_elevation(fx.observations(spark, sf), tiles, table).select("observation_uuid", "elevation_m")
+
+
 @register("filter_elevation", """
 SELECT observation_uuid, longitude, latitude, positional_accuracy, quality_grade, taxon_id, year, elevation_m
 FROM elev WHERE elevation_m IS NOT NULL""", ("elev",))

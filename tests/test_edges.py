@@ -167,3 +167,30 @@ def test_errors_name_what_is_missing(spark):
     with pytest.raises(ValueError, match="no default"):
         best_dataset(none, include_filter=["position"])
     assert best_dataset(none, include_filter=["position"], raw_default="raw.csv").first().path == "raw.csv"
+
+
+def test_bucketed_strips_join_without_an_exchange(spark):
+    from alpina.session import shared_path
+    from alpina.sources.raster import store_strips
+    tiles = spark.createDataFrame([("2600-1200", 2_600_000.0, 100.0, 1_201_000.0, -100.0, 10, 10, -9999.0)],
+                                  "tile_key string, x0 double, px_w double, y0 double, px_h double, n_cols int, n_rows int, nodata double")
+    strips = spark.createDataFrame([("2600-1200", py, [float(10 * py + i) for i in range(10)]) for py in range(10)], "tile_key string, py int, vals array<float>")
+    path = shared_path(spark, "strips")
+    table = store_strips(strips, path.rsplit("/", 1)[-1].replace("-", "_"), 4, path)
+    rows = [(i, 7.4386 + (i % 40) * 0.0003, 46.9511 + (i // 40) * 0.0003, {"k": "v"}) for i in range(1200)] + [(5000 + i, None, None, None) for i in range(500)]
+    obs = spark.createDataFrame(rows, "id long, longitude double, latitude double, extra map<string,string>")
+    plain = {r.id: r.elevation_m for r in enrich_elevation(obs, tiles, strips).collect()}
+    assert len(plain) == len(rows) and len({v for v in plain.values() if v is not None}) > 20 and plain[5000] is None
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich_elevation(obs, tiles, table)
+        assert {r.id: r.elevation_m for r in joined.collect()} == plain
+        plan = joined._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        scan = [x for x in plan.splitlines() if "Scan parquet" in x and "vals" in x]
+        assert scan and all("Bucketed: true" in x for x in scan)
+        # exchanges: the tile headers and the points by tile, then the points by strip
+        initial = plan.split("Initial Plan")[-1]
+        assert initial.count("Exchange hashpartitioning") <= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -11,13 +11,13 @@ from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-# the clustering-based queries are covered once here (dbscan_2d) and by the brute-force tests
+# of the clustering-based queries some are covered here, the others by the brute-force tests
 SWEEP = ["filter_position", "filter_grade", "project_lv95", "tile_key", "extract_year", "enrich_taxa",
          "taxon_groups", "taxa_missing", "taxa_cached", "taxa_batches", "taxa_upsert", "enrich_elevation", "filter_elevation",
          "elevation_coverage", "tiles_needed", "tile_urls_needed", "tile_urls_missing", "combine_union",
          "combine_intersect", "eps_neighbours", "reproject_wgs84", "dbscan_2d", "selection_tags",
          "best_dataset_position", "best_dataset", "manifest_append", "parse_tags", "row_counts", "taxa_json", "dbscan_3d",
-         "footprint_arcs_area", "footprint_polygons"]
+         "footprint_arcs_area", "footprint_polygons", "enrich_elevation_bucketed", "name_dataset", "combined_name", "cluster_label"]
 
 
 def _norm(v):
