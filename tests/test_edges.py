@@ -194,3 +194,14 @@ def test_bucketed_strips_join_without_an_exchange(spark):
         assert initial.count("Exchange hashpartitioning") <= 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_existing_elevation_is_recomputed_in_place(spark):
+    tiles = spark.createDataFrame([("2600-1200", 2_600_000.0, 100.0, 1_201_000.0, -100.0, 10, 10, -9999.0)],
+                                  "tile_key string, x0 double, px_w double, y0 double, px_h double, n_cols int, n_rows int, nodata double")
+    strips = spark.createDataFrame([("2600-1200", py, [float(10 * py + i) for i in range(10)]) for py in range(10)], "tile_key string, py int, vals array<float>")
+    obs = spark.createDataFrame([(1, 7.4390, -5.0, 46.9520, "a"), (2, None, 77.0, 46.9520, "b")], "id long, longitude double, elevation_m double, latitude double, tag string")
+    fresh = {r.id: r.elevation_m for r in enrich_elevation(obs.drop("elevation_m"), tiles, strips).collect()}
+    again = enrich_elevation(obs, tiles, strips)
+    assert again.columns == obs.columns
+    assert {r.id: r.elevation_m for r in again.collect()} == fresh and fresh[2] is None and fresh[1] >= 0.0
