@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geo
 from ..functions.geo import floor_div, wgs84_to_lv95
 from ..session import table_path
 from ..sources.raster import grid_to_strips
@@ -144,6 +145,10 @@ def dem_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 # --- the same views as SQL text (DuckDB oracle) --------------------------------
 
+def _q(value: float) -> str:
+    return f"CAST({value!r} AS DOUBLE)"
+
+
 VIEW_SQL = {
     "obs": """
 SELECT o_orderkey AS observation_uuid,
@@ -169,15 +174,15 @@ SELECT p_partkey AS taxon_id,
             WHEN 5 THEN 'insecta' WHEN 6 THEN '' ELSE 'Animalia' END AS iconic_taxon_name,
        CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS common_name
 FROM part WHERE p_partkey % 7 <> 3""",
-    "proj": """
+    "proj": f"""
 SELECT * EXCLUDE (lo, la),
-  CAST(2600072.37 AS DOUBLE) + CAST(211455.93 AS DOUBLE)*lo - CAST(10938.51 AS DOUBLE)*lo*la
-    - CAST(0.36 AS DOUBLE)*lo*(la*la) - CAST(44.54 AS DOUBLE)*(lo*lo*lo) AS E_lv95,
-  CAST(1200147.07 AS DOUBLE) + CAST(308807.95 AS DOUBLE)*la + CAST(3745.25 AS DOUBLE)*(lo*lo)
-    + CAST(76.63 AS DOUBLE)*(la*la) - CAST(194.56 AS DOUBLE)*(lo*lo)*la
-    + CAST(119.79 AS DOUBLE)*(la*la*la) AS N_lv95
-FROM (SELECT *, (longitude*CAST(3600 AS DOUBLE) - CAST(26782.5 AS DOUBLE))/CAST(10000 AS DOUBLE) AS lo,
-             (latitude*CAST(3600 AS DOUBLE) - CAST(169028.66 AS DOUBLE))/CAST(10000 AS DOUBLE) AS la
+  {_q(geo.LV95_E0)} + {_q(geo.LV95_E_LON)}*lo - {_q(geo.LV95_E_LON_LAT)}*lo*la
+    - {_q(geo.LV95_E_LON_LAT2)}*lo*(la*la) - {_q(geo.LV95_E_LON3)}*(lo*lo*lo) AS E_lv95,
+  {_q(geo.LV95_N0)} + {_q(geo.LV95_N_LAT)}*la + {_q(geo.LV95_N_LON2)}*(lo*lo)
+    + {_q(geo.LV95_N_LAT2)}*(la*la) - {_q(geo.LV95_N_LON2_LAT)}*(lo*lo)*la
+    + {_q(geo.LV95_N_LAT3)}*(la*la*la) AS N_lv95
+FROM (SELECT *, (longitude*CAST(3600 AS DOUBLE) - {_q(geo.LV95_LON_SHIFT_SEC)})/CAST(10000 AS DOUBLE) AS lo,
+             (latitude*CAST(3600 AS DOUBLE) - {_q(geo.LV95_LAT_SHIFT_SEC)})/CAST(10000 AS DOUBLE) AS la
       FROM obs) q""",
     "keyed": """
 SELECT *, CAST(floor(E_lv95 / CAST(1000 AS DOUBLE)) AS BIGINT) AS te,

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import labels
 from ..functions.geo import tile_key as tile_key_col
 from ..operators import quality, taxa as taxa_ops
 from . import fixtures as fx
@@ -34,9 +35,13 @@ def register(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
 
 # --- shared SQL fragments --------------------------------------------------------
 
-GROUP_SQL = """CASE WHEN lower({c}) = 'plantae' THEN 'flora'
-     WHEN lower({c}) IN ('mammalia','aves','reptilia','amphibia','actinopterygii','insecta','arachnida','mollusca') THEN 'fauna'
-     WHEN coalesce(length({c}), 0) > 0 THEN 'other' ELSE 'unknown' END"""
+def _listed(values: list[str], sep: str = ",") -> str:
+    return sep.join(f"'{v}'" for v in values)
+
+
+GROUP_SQL = f"""CASE WHEN lower({{c}}) = '{labels.FLORA_CLASS}' THEN '{labels.GROUP_FLORA}'
+     WHEN lower({{c}}) IN ({_listed(labels.FAUNA_CLASSES)}) THEN '{labels.GROUP_FAUNA}'
+     WHEN coalesce(length({{c}}), 0) > 0 THEN '{labels.GROUP_OTHER}' ELSE '{labels.GROUP_UNKNOWN}' END"""
 
 
 # --- filters, projections (F1-F3, P4, P6, P7) --------------------------------------
@@ -361,7 +366,7 @@ def q_cluster_summary(spark, sf):
 LABEL_SQL = """coalesce(nullif(common_name, ''), nullif(iconic_taxon_name, ''), 'inconnu')
     || CASE WHEN nullif("group", '') IS NOT NULL THEN ' (' || "group" || ')' ELSE '' END"""
 
-GRADE_SQL = "CASE WHEN lower(quality_grade) IN ('casual', 'research', 'needs_id') THEN lower(quality_grade) END"
+GRADE_SQL = f"CASE WHEN lower(quality_grade) IN ({_listed(labels.QUALITY_GRADES, ', ')}) THEN lower(quality_grade) END"
 
 CLUSTERED_TAXA_SQL = dbscan_sql(
     "SELECT observation_uuid AS id, year AS yr, E_lv95 AS x, N_lv95 AS y FROM proj WHERE year IS NOT NULL AND E_lv95 IS NOT NULL",
@@ -457,10 +462,18 @@ def q_visible_bounds(spark, sf):
     return visible_bounds(v, _features(c), taxon_counts(c), "research", "lon", "lat")
 
 
-@register("cluster_style", _summary_sql("""
-SELECT year, cluster_id, CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS INT) AS hue,
-       'hsl(' || CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS VARCHAR) || ', 70%, 35%)' AS stroke,
-       'hsl(' || CAST((CAST(cluster_id AS BIGINT) * 1337) % 360 AS VARCHAR) || ', 80%, 65%)' AS fill
+def _colour_sql(hue: str, form: str) -> str:
+    before, after = form.replace("%%", "%").split("%d")
+    return f"'{before}' || CAST({hue} AS VARCHAR) || '{after}'"
+
+
+_HUE_SQL = f"(CAST(cluster_id AS BIGINT) * {labels.HUE_FACTOR}) % 360"
+
+
+@register("cluster_style", _summary_sql(f"""
+SELECT year, cluster_id, CAST({_HUE_SQL} AS INT) AS hue,
+       {_colour_sql(_HUE_SQL, labels.STROKE_FMT)} AS stroke,
+       {_colour_sql(_HUE_SQL, labels.FILL_FMT)} AS fill
 FROM features"""), ("proj", "taxa"))
 def q_cluster_style(spark, sf):
     from ..operators.summary import cluster_style
