@@ -77,3 +77,33 @@ def test_chain_of_100000_nodes(spark, monkeypatch):
     nodes = edges.selectExpr("src AS node").union(edges.selectExpr("dst AS node"))
     out = connected_components(nodes, edges)
     assert out.count() == n and out.where("root <> 0").count() == 0
+
+
+def test_a_cell_goes_to_the_blocks_around_it(spark):
+    from alpina.operators.box_pairs import block_names, in_block, in_blocks_around
+    rows = [(x, y) for x in range(-9, 10) for y in range(-9, 10)]
+    df = spark.createDataFrame(rows, "x long, y long")
+    a = in_blocks_around(df.selectExpr("x ax", "y ay"), ["ax", "ay"], 2)
+    b = in_block(df.selectExpr("x bx", "y by"), ["bx", "by"], 2)
+    met = a.join(b, block_names(2)).where("abs(ax - bx) <= 1 and abs(ay - by) <= 1")
+    got = sorted((r.ax, r.ay, r.bx, r.by) for r in met.collect())
+    assert got == sorted((*p, *q) for p in rows for q in rows if abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1)
+    assert a.count() < 3 * len(rows)  # nine for each cell before
+
+
+def test_certain_edges_come_once_a_pair_of_cells(spark):
+    from pyspark.sql import functions as F
+
+    from alpina.operators.dbscan import SUB_PER_FINE, _auto_edges, _auto_offsets
+    rng = np.random.default_rng(8)
+    for d, n in ((1, 30), (2, 300), (3, 400)):
+        sub = np.unique(rng.integers(-9, 9, (n, d)), axis=0).tolist()
+        fine = {f: i for i, f in enumerate(sorted({tuple(v // SUB_PER_FINE for v in s) for s in sub}))}
+        s, f = [f"s{i}" for i in range(d)], [f"f{i}" for i in range(d)]
+        core = spark.createDataFrame([(1, *x, *[v // SUB_PER_FINE for v in x], fine[tuple(v // SUB_PER_FINE for v in x)]) for x in sub],
+                                     ["p", *s, *f, "cid"]).select(*[F.col(c).cast("long").alias(c) for c in ["p", *s, *f, "cid"]])
+        got = [tuple(sorted((r.src, r.dst))) for r in _auto_edges(core, "p", f, s).collect()]
+        offsets, have = _auto_offsets(d), {tuple(x) for x in sub}
+        cell = lambda x: fine[tuple(v // SUB_PER_FINE for v in x)]
+        want = {tuple(sorted((cell(x), cell(y)))) for x in have for o in offsets if (y := tuple(a + b for a, b in zip(x, o))) in have and cell(x) != cell(y)}
+        assert want and sorted(got) == sorted(want)
