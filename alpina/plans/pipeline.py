@@ -16,6 +16,7 @@ from ..operators.dbscan import cluster_summary, dbscan
 from ..operators.elevation import enrich_elevation
 from ..operators.summary import taxon_counts
 from ..operators.taxa import enrich_taxa
+from ..session import cut_lineage
 from . import fixtures as fx
 
 
@@ -44,10 +45,11 @@ def with_altitude(df: DataFrame, alt_scale: float = 1.0, elev: str = "elevation_
 def with_z(df: DataFrame, alt_scale: float = 1.0, elev: str = "elevation_m") -> DataFrame:
     """A4 + P8 inside the plan: column ``z``, the altitude divided by ``alt_scale`` if every row has one, else 0 in all rows.
 
-    The question is a scalar subquery over the altitude column alone, so no job
-    runs before the clustering does. With 0 everywhere distances are those of
-    two dimensions.
+    The rows are stored first, and the question is a scalar subquery over the
+    altitude column of that table: whatever made the rows runs once. With 0
+    everywhere distances are those of two dimensions.
     """
+    df = cut_lineage(df)
     if elev not in df.columns:
         return df.withColumn("z", F.lit(0.0))
     partial = df.agg(F.coalesce(F.bool_or(F.col(elev).isNull()), F.lit(False)).alias("partial")).scalar()
@@ -64,7 +66,7 @@ def cluster_observations(obs: DataFrame, taxa: DataFrame, dem_tile: DataFrame, d
     dims = ["E_lv95", "N_lv95"]
     if p.use_altitude:
         x, dims = with_z(x, p.alt_scale), [*dims, "z"]
-    return dbscan(x, p.eps, p.min_samples, dims=dims)
+    return dbscan(x, p.eps, p.min_samples, dims=dims, frozen=p.use_altitude)
 
 
 def flagship(spark: SparkSession, sf_dir: str, p: PipelineParams | None = None) -> DataFrame:

@@ -205,3 +205,9 @@ def test_existing_elevation_is_recomputed_in_place(spark):
     again = enrich_elevation(obs, tiles, strips)
     assert again.columns == obs.columns
     assert {r.id: r.elevation_m for r in again.collect()} == fresh and fresh[2] is None and fresh[1] >= 0.0
+
+
+def test_with_z_makes_its_rows_once(spark):
+    df = spark.range(5).selectExpr("id", "cast(id as double) elevation_m").repartition(3)
+    plan = with_z(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and "Range" not in plan
