@@ -13,13 +13,15 @@
    stored table; only files named there count, so retried tasks leave no trace.
 4. Files are read back by a task each.
 
-Tokenising: white space never joins tokens in the vocabulary used, so a text is
-cut at ASCII white space and each distinct piece goes through the tokenizers
-library: a run of letters with punctuation behind it through its model, all
-other pieces through the whole tokenizer. Pieces are remembered in two
-generations of at most ``MEMO`` each (about 50 MB): a full generation becomes
-the old one, and what is asked for again moves on. A worker keeps them between
-its tasks.
+Tokenising: white space never joins tokens in the vocabulary used, so the texts
+of a group (about ``GROUP`` bytes) are cut at ASCII white space and each piece
+is treated once a group, by Arrow's kernels: a run of letters with punctuation
+behind it becomes the lower-cased run and the punctuation, all other pieces stay
+whole. Each distinct one goes through the tokenizers library, a run of letters
+through its model, the others through the whole tokenizer. They are remembered
+in two generations of at most ``MEMO`` each (about 50 MB): a full generation
+becomes the old one, and what is asked for again moves on. A worker keeps them
+between its tasks.
 
 Defined results: a null or empty text is the end id alone; a null ``doc_id``
 comes first; repeated rows are separate documents; an empty table gives no
@@ -30,6 +32,7 @@ clash.
 
 from __future__ import annotations
 
+import codecs
 import struct
 import unicodedata
 import uuid
@@ -43,15 +46,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import stream_vbyte
-from .common import open_fs, shared_path, store, text_groups, text_or_empty
+from .common import open_fs, shared_path, store, text_or_empty
 
 CHUNK_TOKENS = 1 << 20
 MEMO = 250_000
+GROUP = 8_000_000
 #: magic, documents, tokens, control bytes, data bytes
 HEAD = "<4sQQQQ"
 MAGIC = b"TKV1"
 #: ASCII punctuation that is a word of its own behind letters (no apostrophe, which begins contractions, and no "<", which begins marks)
 TAILS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+#: letters up to U+024F, which lower-case one by one (all but U+0130)
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1)
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -60,7 +66,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class PieceTokenizer(dict):
-    """Ids of whole texts through the tokenizers library; a dict from piece to its ids that learns what is missing."""
+    """Ids of whole texts through the tokenizers library; a dict from piece or word to its ids that learns what is missing."""
 
     def __init__(self, path: str, memo: int = MEMO):
         from tokenizers import Tokenizer
@@ -92,30 +98,47 @@ class PieceTokenizer(dict):
             low = core.lower()
             if not core.isalpha() or max(core) >= "\u0250" or len(low) != len(core) or not unicodedata.is_normalized("NFC", core):
                 return array(self.code, self.library.encode(piece, add_special_tokens=False).ids).tobytes()
-            spelt = low.encode().decode("latin-1").translate(BYTE_LETTERS)
+            spelt = codecs.charmap_decode(low.encode(), "strict", BYTE_LETTERS)[0]
         if low == core:
             found = array(self.code, [t.id for t in self.tokenize(spelt)]).tobytes()
         else:
             found = self[low]
         return found + self[piece[len(core):]] if len(core) < len(piece) else found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned integers of ``kind``."""
-        get = self.__getitem__
-        return [b"".join(map(get, _pieces(t))) for t in texts]
-
-
-def _pieces(text: str) -> list[str]:
-    """A text cut at ASCII white space."""
-    for blank in "\t\n\v\f\r":
-        if blank in text:
-            text = text.replace(blank, " ")
-    return text.split(" ")
+    def _ids(self, pieces):
+        """Ids of each piece, an Arrow column as ``pieces``."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        words, tails = pc.ascii_rtrim(pieces, TAILS), pc.utf8_ltrim(pieces, LETTERS)
+        # letters and then punctuation: what is left by either cut makes up the piece
+        plain = pc.equal(pc.add(pc.binary_length(words), pc.binary_length(tails)), pc.binary_length(pieces))
+        parts = []
+        for part in (pc.if_else(plain, pc.utf8_lower(words), pieces), pc.if_else(plain, tails, "")):
+            distinct = part.dictionary_encode()
+            known = [self[x] for x in distinct.dictionary.to_numpy(zero_copy_only=False)]
+            parts.append(pa.array(known, pa.large_binary()).take(distinct.indices))
+        return pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts) -> list[bytes]:
+        """Ids of each text (a list or an Arrow column without nulls) as little-endian unsigned integers of ``kind``."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if not len(texts):
+            return []
+        pieces = pc.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        distinct = pieces.flatten().dictionary_encode()
+        ids = self._ids(distinct.dictionary).take(distinct.indices)
+        # the ids of all pieces stand one behind the other
+        _, ends, data = ids.buffers()
+        places = pieces.offsets.to_numpy()
+        places = np.frombuffer(ends, "<i8")[places - places[0]].tolist()
+        data = memoryview(data or b"")
+        return [data[a:b].tobytes() for a, b in zip(places, places[1:])]
 
 
 #: fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 and up, in order
 _OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
-BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
+BYTE_LETTERS = "".join(chr(256 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256))
 
 
 _WORKER: dict[str, PieceTokenizer] = {}
@@ -135,16 +158,19 @@ def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         from alpina.llm.token_output import worker_tokenizer  # the worker's own module keeps the memo
         tokenizer = worker_tokenizer(path)
         width = int(tokenizer.kind[-1])
         end = end_id.to_bytes(width, "little")
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            for part in text_groups(texts, 4_000_000):
-                ids = [x + end for x in tokenizer.encode(texts[part])]
-                kept = [batch.column(i).slice(part.start, len(ids)) for i in range(3)]
+            texts = batch.column(3)
+            # groups of about GROUP bytes; a longer text is in one of its own or ends one
+            starts = np.unique(np.cumsum(pc.binary_length(texts).to_numpy()) // GROUP, return_index=True)[1].tolist()
+            for start, stop in zip(starts, [*starts[1:], len(texts)]):
+                ids = [x + end for x in tokenizer.encode(texts.slice(start, stop - start))]
+                kept = [batch.column(i).slice(start, len(ids)) for i in range(3)]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "h", "no", "width", "ids"])
 
     made = rows.mapInArrow(run, "doc_id long, h long, no long, width int, ids binary")

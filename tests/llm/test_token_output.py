@@ -60,3 +60,31 @@ def test_punctuation_behind_letters_and_a_repeated_document(spark):
     assert len(got) == 320 and len({r.start for r in got}) == 320 and len({r.ids_crc32 for r in got}) == 2
     manifest, _, _ = T.token_files(df.repartition(6))
     assert T.read_documents(manifest, np.arange(9), "unused").rdd.getNumPartitions() == manifest.count() >= 1
+
+
+def test_words_are_learned_once_whatever_their_capitals_and_punctuation():
+    t = T.PieceTokenizer(T.vocabulary_path())
+    learned, learn = [], t._learned
+    t._learned = lambda piece: learned.append(piece) or learn(piece)
+    texts = ["Wort wort, WORT. (Wort)", "Été été! ÉTÉ, wort.", "été,\nWORT!"]
+    assert [np.frombuffer(x, t.kind).tolist() for x in t.encode(texts)] == [t.library.encode(x, add_special_tokens=False).ids for x in texts]
+    # "(Wort)" is no run of letters with punctuation behind it: it goes through the whole tokenizer
+    assert sorted(x for x in learned if x.strip(T.TAILS)) == ["(Wort)", "wort", "été"] and len(learned) == len(set(learned))
+
+
+def test_every_letter_and_mark_as_the_library_has_it():
+    t = T.PieceTokenizer(T.vocabulary_path())
+    texts = [f"a{c}b {c}x, {c} y{c}, {c}{c}. Z{c}! ,{c}. 1{c} e{c}'s" for c in map(chr, range(0x2100))]
+    assert [np.frombuffer(x, t.kind).tolist() for x in t.encode(texts)] == [x.ids for x in t.library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_groups_of_texts_and_slices(spark, monkeypatch):
+    import pyarrow as pa
+    t = T.PieceTokenizer(T.vocabulary_path())
+    texts = ["Ab cd.", "", "x" * 30 + " y", " ", "é! Ab"]
+    whole = t.encode(texts)
+    assert t.encode([]) == [] and t.encode(pa.array(texts).slice(2, 2)) == whole[2:4] and t.encode(pa.array(texts, pa.large_string())) == whole
+    monkeypatch.setattr(T, "GROUP", 8)  # the function sent to the tasks carries it
+    rows = T.tokenised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), T.vocabulary_path(), 2).collect()
+    end = (2).to_bytes(int(t.kind[-1]), "little")
+    assert {r.doc_id: bytes(r.ids) for r in rows} == {i: x + end for i, x in enumerate(whole)}
