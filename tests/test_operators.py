@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from brute import dbscan_per_group
@@ -201,3 +202,27 @@ def test_rings_nest_holes_and_chain_long_boundaries(spark):
         assert np.hypot(*np.diff(xy, axis=0).T).max() < 0.2  # neighbours on the ring follow each other
         area = 0.5 * np.sum(xy[:-1, 0] * xy[1:, 1] - xy[1:, 0] * xy[:-1, 1])
         assert (area > 0) == (k[2] == 0)
+
+
+@pytest.mark.parametrize("out", [1e-5, 1e-8])
+def test_rings_go_on_past_arcs_shorter_than_the_reach(spark, out):
+    # clusters 0-2: three circles nearly through one point, the middle one comes out by next to nothing (its arc's ends
+    # are nearer than any match needs); 3: three circles leave a hole of that size; 4: two of them alone
+    r, x, y = 500.0, 2600000.0, 1200000.0
+    away = lambda k, degree, d: (k, x + d * math.cos(math.radians(degree)), y + d * math.sin(math.radians(degree)))
+    rows = [away(k, turn + side, r) for k, turn in ((0, 0), (1, 77), (2, 200)) for side in (140, -140)]
+    rows += [away(k, turn + 180, r - out) for k, turn in ((0, 0), (1, 77), (2, 200))]
+    rows += [away(3, degree, r + out) for degree in (10, 130, 250)] + [away(4, 140, r), away(4, -140, r)]
+    arcs = boundary_arcs(spark.createDataFrame(rows, "cluster_id int, E_lv95 double, N_lv95 double"), r)
+    tiny = arcs.where("a1 - a0 < 1e-6").count()
+    assert tiny >= (4 if out > 1e-6 else 1)
+    v = footprint_vertices(arcs, r, simplify=0.0).toPandas()
+    rings = {(k, *x[1:]): g.sort_values("idx")[["x", "y"]].to_numpy() for k in range(5) for x, g in v[v.cluster_id == k].groupby(["cluster_id", "part", "ring"])}
+    assert set(rings) == {(k, 0, 0) for k in range(5)} | ({(3, 0, 1)} if out > 1e-6 else set())
+    area = {k: 0.5 * np.sum((p[:-1, 0] - x) * (p[1:, 1] - y) - (p[1:, 0] - x) * (p[:-1, 1] - y)) for k, p in rings.items()}
+    whole = {row.cluster_id: row.area for row in arc_area(arcs, r).collect()}
+    for k in range(5):
+        assert np.array_equal(rings[k, 0, 0][0], rings[k, 0, 0][-1])
+        assert 0.995 * whole[k] < area[k, 0, 0] < whole[k]
+    assert area.get((3, 0, 1), -1.0) < 0
+    assert footprint_vertices(arcs, r).select("cluster_id").distinct().count() == 5
