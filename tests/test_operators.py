@@ -226,3 +226,36 @@ def test_rings_go_on_past_arcs_shorter_than_the_reach(spark, out):
         assert 0.995 * whole[k] < area[k, 0, 0] < whole[k]
     assert area.get((3, 0, 1), -1.0) < 0
     assert footprint_vertices(arcs, r).select("cluster_id").distinct().count() == 5
+
+
+def test_cover_test_shuffles_blocks_and_intervals_once(spark):
+    from alpina.operators.footprint import _uncovered_circles
+    rnd, r, h = random.Random(8), 1.0, 0.25
+    pts = {(1, rnd.uniform(-3, 3), rnd.uniform(-3, 3)) for _ in range(300)} | {(2, rnd.uniform(-3, 9), rnd.uniform(50, 51)) for _ in range(60)}
+    df = spark.createDataFrame([*pts], "cid int, cx double, cy double")
+    # by hand: a cell is covered by a centre in a cell whose farthest corner is within r; a circle with all its cells covered is dropped
+    reach = [(a, b) for a in range(-4, 5) for b in range(-4, 5) if (abs(a) + 1) ** 2 + (abs(b) + 1) ** 2 <= 16]
+    cell = lambda v: math.floor(v / h)
+    covered = {(c, cell(x) + a, cell(y) + b) for c, x, y in pts for a, b in reach}
+
+    def crossed(x, y):
+        for i in range(cell(x) - 5, cell(x) + 6):
+            for j in range(cell(y) - 5, cell(y) + 6):
+                near = math.hypot(max(i * h - x, 0, x - i * h - h), max(j * h - y, 0, y - j * h - h))
+                far = math.hypot(max(abs(x - i * h), abs(x - i * h - h)), max(abs(y - j * h), abs(y - j * h - h)))
+                if near <= r <= far:
+                    yield i, j
+
+    left = {(c, x, y) for c, x, y in pts if any((c, i, j) not in covered for i, j in crossed(x, y))}
+    found = _uncovered_circles(df, r)
+    assert {tuple(row) for row in found.collect()} == left and 0 < len(left) < len(pts)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda d: d._jdf.queryExecution().executedPlan().toString().split("\n")
+        shuffles = [line for line in plan(_uncovered_circles(df, r)) if "Exchange hashpartitioning" in line]
+        assert shuffles and not any("qx" in line for line in shuffles)
+        arcs = boundary_arcs(df.withColumnsRenamed({"cid": "cluster_id", "cx": "E_lv95", "cy": "N_lv95"}), r)
+        assert sum("Exchange hashpartitioning" in line for line in plan(arcs)) == 3  # both sides of the pairs, then the intervals
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
